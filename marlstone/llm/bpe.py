@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import table
-from marlstone.llm.packing import chunk_count, chunked, squeeze, unsqueeze
+from marlstone.llm.packing import chunk_count, chunked, docs_of, squeeze, unsqueeze
 from marlstone.llm.shingles import _INVERSE, mix, powers
 
 #: What may follow an apostrophe in a contraction.
@@ -170,7 +170,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
     d = chunked(docs, chunks, id_col, text_col)
 
     def send(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        words, _, _ = split_words(list(pdf["text"]))
+        words, _, _ = split_words(list(docs_of(pdf)["text"]))
         part = _place(words, chunks)
         order = np.argsort(part, kind="stable")
         rows = []
@@ -198,6 +198,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         return pd.DataFrame({"chunk": pdf["chunk"], "part": pdf["part"], "ids": out})
 
     def join(key, docs: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
+        docs = docs_of(docs)
         texts = list(docs["text"])
         words, flat, offs = split_words(texts)
         order = np.argsort(_place(words, chunks), kind="stable")
@@ -211,7 +212,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
         cut = ends[offs]
         res = pd.DataFrame({"ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
-        res.insert(0, "doc_id", docs["doc_id"].astype("Int64").to_numpy())
+        res.insert(0, "doc_id", docs["doc_id"])
         return res
 
     sent = d.groupBy("chunk").applyInPandas(send, "chunk int, part int, words binary")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.common import stable, table
 from marlstone.llm.graph import components
-from marlstone.llm.packing import chunk_count, chunked, frequencies, levels_of, print_bits, squeeze, unsqueeze
+from marlstone.llm.packing import chunk_count, chunked, docs_of, frequencies, levels_of, print_bits, squeeze, unsqueeze
 from marlstone.llm.shingles import mix, shingle_sets
 
 SET_SCHEMA = "doc_id long, n int, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, tokens array<long>, places array<int>, packed binary"
@@ -44,7 +44,7 @@ def _fingerprint(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _frequencies(d: DataFrame, n: int, bits: int, ranges: int) -> DataFrame:
     def prints(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        distinct = {s.tobytes(): s for s in shingle_sets(list(pdf["text"]), n)}  # copies in one chunk count once
+        distinct = {s.tobytes(): s for s in shingle_sets(list(docs_of(pdf)["text"]), n)}  # copies in one chunk count once
         fps = [np.unique(_fingerprint(s, bits)) for s in distinct.values()]
         return np.unique(np.concatenate(fps), return_counts=True) if fps else (np.zeros(0, np.uint64), np.zeros(0, int))
 
@@ -53,6 +53,7 @@ def _frequencies(d: DataFrame, n: int, bits: int, ranges: int) -> DataFrame:
 
 def _sets(d: DataFrame, freq: DataFrame, n: int, bits: int, num: int, den: int) -> DataFrame:
     def build(key, docs: pd.DataFrame, freq: pd.DataFrame) -> pd.DataFrame:
+        docs = docs_of(docs)
         texts = list(docs["text"])
         sets = shingle_sets(texts, n)
         fps = [_fingerprint(s, bits) for s in sets]

@@ -23,10 +23,41 @@ def chunk_count(rows: int, per: int = CHUNK_ROWS) -> int:
 
 
 def chunked(docs: DataFrame, chunks: int, id_col: str, text_col: str) -> DataFrame:
-    """(chunk, doc_id, text) dealt by chunk; null text is empty. Copies of a text fall into different chunks."""
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """(chunk, ids, texts) dealt by chunk, the documents of a batch packed by chunk; docs_of() opens them.
+
+    Null text is empty. Copies of a text fall into different chunks.
+    """
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return d.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(parts, "chunk")
+
+    def pack(batches):
+        for pdf in batches:
+            raw = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
+            known = pdf["doc_id"].notna().to_numpy()
+            ids = pdf["doc_id"].fillna(0).to_numpy(np.int64)
+            by = np.argsort(pdf["chunk"].to_numpy(), kind="stable")
+            chunk = pdf["chunk"].to_numpy()[by]
+            rows = []
+            for k in np.split(by, np.flatnonzero(np.diff(chunk)) + 1):
+                head = np.stack((ids[k], known[k].astype(np.int64), np.array([len(raw[i]) for i in k], np.int64)))
+                rows.append((int(pdf["chunk"].iat[k[0]]), squeeze(head.tobytes()), squeeze(b"".join([raw[i] for i in k]))))
+            yield pd.DataFrame(rows, columns=["chunk", "ids", "texts"])
+
+    d = d.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    return d.mapInPandas(pack, "chunk int, ids binary, texts binary").repartition(parts, "chunk")
+
+
+def docs_of(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of a chunk: doc_id (nullable), text."""
+    ids, texts = [], []
+    for head, body in zip(pdf["ids"], pdf["texts"]):
+        own, known, sizes = np.frombuffer(unsqueeze(head), np.int64).reshape(3, -1)
+        raw = unsqueeze(body)
+        ends = np.cumsum(sizes).tolist()
+        texts += [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends)]
+        ids += [pd.array(np.where(known > 0, own, 0), "Int64")]
+        ids[-1][known == 0] = pd.NA
+    return pd.DataFrame({"doc_id": pd.concat([pd.Series(x) for x in ids], ignore_index=True), "text": texts})
 
 
 def squeeze(data: bytes, level: int = 3) -> bytes:

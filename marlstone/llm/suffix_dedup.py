@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import stable, table
-from marlstone.llm.packing import chunk_count, chunked, frequencies, levels_of, print_bits, squeeze, unsqueeze
+from marlstone.llm.packing import chunk_count, chunked, docs_of, frequencies, levels_of, print_bits, squeeze, unsqueeze
 from marlstone.llm.shingles import _INVERSE, mix, powers
 
 SPAN, KMER = 200, 64
@@ -80,7 +80,7 @@ def _slices(raw: list[bytes]):
 
 def _texts(pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[bytes]]:
     """A chunk's documents in an order that does not depend on how they arrived."""
-    pdf = pdf.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
+    pdf = docs_of(pdf).sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
     return pdf, [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
 
 
@@ -355,7 +355,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             spans = [{"start": int(s), "end": int(e)} for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
             rows.append((len(x), spans, np.frombuffer(x, np.uint8)[~g].tobytes()))
         out = pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
-        out.insert(0, "doc_id", docs["doc_id"].astype("Int64").to_numpy())
+        out.insert(0, "doc_id", docs["doc_id"])
         return out
 
     return d.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(mark, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -45,8 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ranks = bpe.default_ranks()
-    return bpe.digest(bpe.decode(bpe.encode(docs, ranks), ranks))
+    return bpe.digest(bpe.encode(docs, bpe.default_ranks(), with_bytes=True))
 
 
 STAGES = [

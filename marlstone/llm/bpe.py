@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -35,7 +34,8 @@ from marlstone.llm.shingles import _INVERSE, mix, powers
 SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-_SLICE = 1 << 20
+_SLICE = 1 << 18
+_CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 @functools.cache
@@ -84,12 +84,11 @@ def boundaries(codes: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct pre-tokens, index of each pre-token's word in order of position, offsets of the texts' pre-tokens)."""
-    words: list[bytes] = []
-    known: dict[int, int] = {}
-    index, counts = [], []
-    i = 0
+def split_words(texts: list[str], parts: int = 1) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pre-tokens by fingerprint, index of each pre-token's word in order of position, offsets of the
+    texts' pre-tokens, cuts of the distinct ones at the borders of `parts` equal fingerprint ranges)."""
+    bodies, begins, prints, counts = [], [], [], []
+    i = base = 0
     while i < len(texts):
         j, size = i, 0
         while j < len(texts) and (j == i or size + len(texts[j]) < _SLICE):
@@ -99,34 +98,27 @@ def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         cuts = np.cumsum([0] + [len(t) for t in texts[i:j]])
         start = boundaries(codes, cuts[:-1])
-        data = text.encode("utf-8")
-        raw = np.frombuffer(data, np.uint8)
+        body = text.encode("utf-8")
+        raw = np.frombuffer(body, np.uint8)
         width = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
         offs = np.concatenate(([0], np.cumsum(width)))
         a, b = offs[start], np.append(offs[start[1:]], offs[-1]) if len(start) else offs[:0]
-        run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(raw.astype(np.uint64) + np.uint64(1)) * powers(len(raw)), dtype=np.uint64)))
-        h = mix((run[b] - run[a]) * powers(len(raw) + 1, _INVERSE)[a] + (b - a).astype(np.uint64))
-        u, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        where = np.empty(len(u), np.int64)
-        for k, (key, at) in enumerate(zip(u.tolist(), first.tolist())):
-            found = known.get(key)
-            if found is None:
-                found = known[key] = len(words)
-                words.append(data[a[at] : b[at]])
-            where[k] = found
-        own = where[inv]
-        if b"".join([words[x] for x in own.tolist()]) != data:
-            raise ValueError("two words share a fingerprint")
-        index.append(own)
+        run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CODES[raw] * powers(len(raw)), dtype=np.uint64)))
+        prints.append(mix((run[b] - run[a]) * powers(len(raw) + 1, _INVERSE)[a] + (b - a).astype(np.uint64)))
+        bodies.append(body), begins.append(a + base)
         counts.append(np.diff(np.searchsorted(start, cuts)))
+        base += len(body)
         i = j
-    flat = np.concatenate(index) if index else np.zeros(0, np.int64)
-    return words, flat, np.concatenate(([0], np.cumsum(np.concatenate(counts)))) if counts else np.zeros(1, np.int64)
-
-
-def _place(words: list[bytes], parts: int) -> np.ndarray:
-    """The order in which a chunk sends its words: by hash range, then as met."""
-    return np.array([zlib.crc32(w) % parts for w in words], np.int64)
+    if not bodies:
+        return [], np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(parts + 1, np.int64)
+    data, begin = b"".join(bodies), np.concatenate(begins)
+    end = np.append(begin[1:], base)
+    u, first, index = np.unique(np.concatenate(prints), return_index=True, return_inverse=True)
+    words = [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist())]
+    if b"".join([words[x] for x in index.tolist()]) != data:
+        raise ValueError("two words share a fingerprint")
+    borders = np.array([((r << 64) + parts - 1) // parts for r in range(parts)], np.uint64)
+    return words, index, np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.append(np.searchsorted(u, borders), len(u))
 
 
 def _pack(lens, body: bytes) -> bytes:
@@ -163,19 +155,21 @@ def _bytes_of(ranks: bytes) -> dict[int, bytes]:
     return {i: b for b, i in _tokens(ranks).items()}
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, ids array<int>."""
+def _decoded(ids: np.ndarray, of: dict[int, bytes]) -> bytes:
+    return b"".join([of[i] for i in ids.tolist()])
+
+
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
+    """One row per document: doc_id, ids array<int>; with_bytes adds what the ids decode to, as decode() does, in the same task."""
     total = docs.select(F.lit(1)).count()
     chunks = chunk_count(total)
     d = chunked(docs, chunks, id_col, text_col)
 
     def send(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        words, _, _ = split_words(list(docs_of(pdf)["text"]))
-        part = _place(words, chunks)
-        order = np.argsort(part, kind="stable")
+        words, _, _, cuts = split_words(list(docs_of(pdf)["text"]), chunks)
         rows = []
-        for p, own in zip(*_runs(part[order], order)):
-            mine = [words[k] for k in own]
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            mine = words[cuts[p] : cuts[p + 1]]
             rows.append((key[0], p, _pack([len(w) for w in mine], b"".join(mine))))
         return pd.DataFrame(rows, columns=["chunk", "part", "words"])
 
@@ -200,29 +194,25 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
     def join(key, docs: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
         docs = docs_of(docs)
         texts = list(docs["text"])
-        words, flat, offs = split_words(texts)
-        order = np.argsort(_place(words, chunks), kind="stable")
+        words, flat, offs, _ = split_words(texts)
         found = [_unpack(x) for x in ids.sort_values("part")["ids"]]
         lens = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
         all_ids = np.frombuffer(b"".join(x[1] for x in found), np.int32)
-        begin, size = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        begin[order], size[order] = np.cumsum(lens) - lens, lens
-        n = size[flat]
+        begin = np.cumsum(lens) - lens
+        n = lens[flat]
         ends = np.concatenate(([0], np.cumsum(n)))
         out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
         cut = ends[offs]
         res = pd.DataFrame({"ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
         res.insert(0, "doc_id", docs["doc_id"])
+        if with_bytes:
+            of = _bytes_of(ranks)
+            res["bytes"] = [_decoded(x, of) for x in res["ids"]]
         return res
 
     sent = d.groupBy("chunk").applyInPandas(send, "chunk int, part int, words binary")
     answers = sent.groupBy("part").applyInPandas(answer, "chunk int, part int, ids binary")
-    return d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>")
-
-
-def _runs(keys: np.ndarray, values: np.ndarray):
-    u, first = np.unique(keys, return_index=True)
-    return u.tolist(), np.split(values, first[1:]) if len(u) else []
+    return d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>" + ", bytes binary" * with_bytes)
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
@@ -232,7 +222,7 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     def look_up(batches):
         of = _bytes_of(ranks)
         for pdf in batches:
-            yield pdf.assign(bytes=[b"".join([of[i] for i in x.tolist()]) for x in pdf["ids"]])
+            yield pdf.assign(bytes=[_decoded(x, of) for x in pdf["ids"]])
 
     return encoded.mapInPandas(look_up, StructType([*encoded.schema.fields, StructField("bytes", BinaryType())]))
 
@@ -250,4 +240,4 @@ def default_ranks() -> bytes:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = default_ranks()
-    return digest(decode(encode(table(spark, sf_dir, "documents"), ranks), ranks))
+    return digest(encode(table(spark, sf_dir, "documents"), ranks, with_bytes=True))

@@ -26,10 +26,19 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """base^0 .. base^(n-1) modulo 2^64; tables of up to a million entries are kept."""
+    own = _POWERS.get(int(base), np.zeros(0, np.uint64))
+    if len(own) < n:
+        own = np.full(max(n, 1 << 16), base, np.uint64)
+        own[:1] = 1
+        own = np.multiply.accumulate(own)
+        if len(own) <= 1 << 20:
+            _POWERS[int(base)] = own
+    return own[:n]
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -48,7 +57,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, mix(h + (end - start).astype(np.uint64))
 
 
-def shingle_sets(texts: list[str], n: int, most: int = 1 << 22) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], n: int, most: int = 1 << 19) -> list[np.ndarray]:
     """A sorted uint64 array of distinct shingle fingerprints for each text."""
     out: list[np.ndarray] = []
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]

@@ -35,7 +35,7 @@ BUCKET = 16_000
 SAMPLE = 20_000
 _PLACE = np.uint64((1 << 28) - 1)
 _CODES = mix(np.arange(11, 267, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _NONE = np.zeros(0, np.int64)
 
 

@@ -1,0 +1,65 @@
+"""Sequential selection and target allocation, on compact per-image vectors and driver-side scalars."""
+
+from __future__ import annotations
+
+import heapq
+import math
+
+
+def split_sizes(total: int, ratio: dict[str, float]) -> dict[str, int]:
+    """Floors, then all that is left to the split with the largest remainder (ties: the last name)."""
+    names = ("train", "val", "test")
+    whole = sum(ratio.get(n, 0.0) for n in names)
+    if total <= 0:
+        return dict.fromkeys(names, 0)
+    raw = {n: total * ratio.get(n, 0.0) / whole for n in names}
+    out = {n: int(raw[n]) for n in names}
+    out[max(names, key=lambda n: (raw[n] - out[n], n))] += total - sum(out.values())
+    return out
+
+
+def largest_remainder(total: int, ratio: dict[str, float]) -> dict[str, int]:
+    """Floors, then one each by falling remainder."""
+    whole = sum(ratio.values())
+    raw = {n: total * r / whole for n, r in ratio.items()}
+    out = {n: int(x) for n, x in raw.items()}
+    for n in sorted(raw, key=lambda n: (out[n] - raw[n], n))[: total - sum(out.values())]:
+        out[n] += 1
+    return out
+
+
+def class_quota(n: int, k: int, alpha: float, cap: int) -> int:
+    if n <= 0:
+        return 0
+    return n if n < k else max(k, min(cap, k + round(alpha * math.log10(n))))
+
+
+def coverage_gain(counts: dict, have: dict, caps: dict, available: dict) -> float:
+    """Concave gain of adding an image's class counts to what is selected."""
+    return sum((math.sqrt(min(have.get(c, 0) + x, caps[c])) - math.sqrt(min(have.get(c, 0), caps[c]))) / math.sqrt(available[c]) for c, x in counts.items() if available.get(c))
+
+
+def lazy_greedy(images: dict[str, dict], size: int, caps: dict) -> list[str]:
+    """Images of greatest marginal coverage, one by one. Gains only shrink, so a stale heap entry is an upper bound
+    and only the top is evaluated again. Ties: more boxes, fewer classes, then the smaller name."""
+    available: dict = {}
+    for counts in images.values():
+        for c, x in counts.items():
+            available[c] = available.get(c, 0) + x
+    have: dict = {}
+    rank = lambda name, gain: (-gain, -sum(images[name].values()), len(images[name]), name)
+    heap = [rank(n, coverage_gain(images[n], have, caps, available)) for n in images]
+    heapq.heapify(heap)
+    out: list[str] = []
+    while heap and len(out) < size:
+        name = heapq.heappop(heap)[-1]
+        now = rank(name, coverage_gain(images[name], have, caps, available))
+        if heap and now > heap[0]:
+            heapq.heappush(heap, now)
+            continue
+        if now[0] >= 0:
+            break
+        out.append(name)
+        for c, x in images[name].items():
+            have[c] = have.get(c, 0) + x
+    return out

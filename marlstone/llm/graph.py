@@ -33,7 +33,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     seen = None
     for _ in range(rounds):
         after = stable(_small(stable(_large(e))))
-        sign = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum("v")).first()
+        sign = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.col("v") % 1_000_033)).first()
         discard(e)
         e = after
         if sign == seen:

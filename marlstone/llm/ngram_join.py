@@ -123,17 +123,21 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     first = stable(_verify(own.unionByName(stars.select("u", "v")), nodes, n, num, den))
     labels = stable(components(first))
 
-    # groups' postings against each other: left the larger (or equal) set, right its index prefix
-    p = posts.select("grp", "n", "token", "place", "before")
+    m = members.select("grp", "node", "n", "b0", "b1", "b2", "b3").join(labels.select(F.col("id").alias("node"), "component"), "node", "left")
+    m = stable(m.withColumn("component", F.coalesce("component", "node")))
+    # groups' postings against each other: left the larger (or equal) set, right its index prefix. A bit that all members of
+    # one group have and none of the other differs for every pair, so group pairs are filtered before they are formed
+    bounds = stable(m.groupBy("grp").agg(*[F.bit_and(f"b{i}").alias(f"all{i}") for i in range(4)], *[F.bit_or(f"b{i}").alias(f"any{i}") for i in range(4)], F.min("component").alias("c1"), F.max("component").alias("c2")))
+    p = posts.select("grp", "n", "token", "place", "before").join(bounds, "grp")
     need = f"cast(ceil({num} * (a.n + b.n) / {num + den}.0) as int)"
     index = p.where(f"place <= n - cast(ceil(2 * {num} * n / {num + den}.0) as int)")
+    surely = " + ".join(f"bit_count((a.all{i} & ~b.any{i}) | (~a.any{i} & b.all{i}))" for i in range(4))
     meet = p.alias("a").join(index.alias("b"), F.expr(
         f"a.token = b.token and (a.n > b.n or (a.n = b.n and a.grp > b.grp)) and {den} * b.n >= {num} * a.n"
-        f" and a.place <= a.n - {need} and b.place <= b.n - {need} and not arrays_overlap(a.before, b.before)"))
+        f" and a.place <= a.n - {need} and b.place <= b.n - {need} and not (a.c1 = a.c2 and b.c1 = b.c2 and a.c1 = b.c1)"
+        f" and {surely} <= a.n + b.n - 2 * {need} and not arrays_overlap(a.before, b.before)"))
     group_pairs = meet.select(F.col("a.grp").alias("g"), F.col("b.grp").alias("h")).distinct()
-    selfs = members.groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("grp").alias("g"), F.col("grp").alias("h"))
-    m = members.select("grp", "node", "n", "b0", "b1", "b2", "b3").join(labels.select(F.col("id").alias("node"), "component"), "node", "left")
-    m = stable(m.withColumn("component", F.coalesce("component", "node")))
+    selfs = bounds.where("c1 <> c2").select(F.col("grp").alias("g"), F.col("grp").alias("h"))
     # a group enters the expansion only against groups with other components, one row per component and group
     comps = m.select("grp", "component").distinct()
     gp = group_pairs.unionByName(selfs).join(comps.select(F.col("grp").alias("g"), F.col("component").alias("cg")), "g").join(comps.select(F.col("grp").alias("h"), F.col("component").alias("ch")), "h").where("cg <> ch")

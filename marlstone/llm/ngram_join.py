@@ -9,7 +9,7 @@
 3. Documents with the same size, prefix shingles and places form one group. Within a group, members are verified
    against the leader; in each posting list, against the list's smallest group. Components of these links come first.
 4. Then all pairs of groups that meet in a list and hold members of different components are filtered by size,
-   by place (both places must lie within the pair's own prefix, at the first common shingle) and by a 256-bit
+   by place (both places must lie within the pair's own prefix) and by a 256-bit
    parity sketch, whose differing bits never exceed the differing shingles; then expanded to members that are
    still in different components, and verified on whole sets. Links inside a component can't change the result, so none is lost.
 
@@ -30,6 +30,10 @@ from marlstone.llm.graph import components
 from marlstone.llm.packing import chunk_count, chunked, docs_of, frequencies, levels_of, print_bits, squeeze, unsqueeze
 from marlstone.llm.shingles import mix, shingle_sets
 
+#: How many of a posting's preceding shingles it carries. A pair that meets in one of them is left to that earlier meeting;
+#: the first common shingle has no common one before it, so every pair is formed there at least, and a few more than once.
+WINDOW = 12
+
 SET_SCHEMA = "doc_id long, n int, s1 long, s2 long, b0 long, b1 long, b2 long, b3 long, tokens array<long>, places array<int>, packed binary"
 
 
@@ -115,9 +119,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     leaders = grouped.groupBy("grp").agg(F.min("node").alias("leader"))
     members = stable(grouped.drop("packed").join(leaders, "grp"))
     own = members.where("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v"))
-    posts = members.where("node = leader").select("grp", "leader", "n", "tokens", F.posexplode(F.arrays_zip("tokens", "places")).alias("k", "tp")).select(
-        "grp", "leader", "n", F.col("tp.tokens").alias("token"), F.col("tp.places").alias("place"), F.slice("tokens", F.lit(1), F.col("k")).alias("before"))
-    posts = stable(posts)
+    leading = members.where("node = leader")
+    posts = stable(leading.select("leader", "n", F.explode("tokens").alias("token")))
     hubs = posts.groupBy("token").agg(F.min(F.struct("n", "leader")).alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1").select("token", F.col("hub.leader").alias("v"), F.col("hub.n").alias("m"))
     stars = posts.join(hubs, "token").where(f"leader <> v and {den} * m >= {num} * n").groupBy(F.col("leader").alias("u")).agg(F.min("v").alias("v"))
     first = stable(_verify(own.unionByName(stars.select("u", "v")), nodes, n, num, den))
@@ -128,7 +131,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     # groups' postings against each other: left the larger (or equal) set, right its index prefix. A bit that all members of
     # one group have and none of the other differs for every pair, so group pairs are filtered before they are formed
     bounds = stable(m.groupBy("grp").agg(*[F.bit_and(f"b{i}").alias(f"all{i}") for i in range(4)], *[F.bit_or(f"b{i}").alias(f"any{i}") for i in range(4)], F.min("component").alias("c1"), F.max("component").alias("c2")))
-    p = posts.select("grp", "n", "token", "place", "before").join(bounds, "grp")
+    # bounds join whole groups, before they are taken apart into postings
+    p = leading.select("grp", "n", "tokens", "places").join(bounds, "grp").select("*", F.posexplode(F.arrays_zip("tokens", "places")).alias("k", "tp")).select(
+        "grp", "n", *[c for c in bounds.columns if c != "grp"], F.col("tp.tokens").alias("token"), F.col("tp.places").alias("place"),
+        F.expr(f"slice(tokens, greatest(k - {WINDOW}, 0) + 1, least(k, {WINDOW}))").alias("before"))
     need = f"cast(ceil({num} * (a.n + b.n) / {num + den}.0) as int)"
     index = p.where(f"place <= n - cast(ceil(2 * {num} * n / {num + den}.0) as int)")
     surely = " + ".join(f"bit_count((a.all{i} & ~b.any{i}) | (~a.any{i} & b.all{i}))" for i in range(4))

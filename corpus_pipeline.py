@@ -33,7 +33,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 the smallest doc_id stays."""
     parts = ngram_join.jaccard_components(docs, n=5, num=4, den=5)
-    gone = parts.where("doc_id <> component_id").select("doc_id").distinct()
+    # a table, so that its size is known when the join is planned: Spark broadcasts it below its threshold, else both sides move
+    gone = stable(parts.where("doc_id <> component_id").select("doc_id").distinct())
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -24,10 +24,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays, once."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    named = docs.withColumn("_id", F.coalesce("doc_id", F.lit(-1))).withColumn("_sha", F.sha2(exact_dedup.normal(F.col("text")), 256))
-    return named.join(kept, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"]).drop("_id", "_sha")
+    """Of equal texts the row with the largest doc_id stays, once.
+
+    Only ids and digests of the rows that go, or that repeat a kept row, meet the documents, so whole texts need not move again.
+    """
+    keys = ["_exact_id", "_exact_none", "_exact_sha"]
+
+    def keyed(df: DataFrame, sha) -> DataFrame:
+        return df.withColumns({keys[0]: F.coalesce("doc_id", F.lit(-1)), keys[1]: F.col("doc_id").isNull(), keys[2]: F.unhex(sha)})
+
+    told = keyed(exact_dedup.exact_dedup(docs), F.col("text_sha256"))
+    odd = stable(told.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c")).where("not kept or c > 1"))
+    named = keyed(docs, F.sha2(exact_dedup.normal(F.col("text")), 256))
+    kept = named.join(odd.select(keys), keys, "left_anti")
+    repeated = odd.where("kept").select(keys)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return kept.select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -168,6 +168,31 @@ def test_pii():
     assert pii.added_spans("on 2024-01-12 we met at noon . Then", [], w) == [] and pii.base_spans("@" * 5000) == []
 
 
+def test_pii_boundaries():
+    """Entities side by side, more than four in a row, and ends of sentences."""
+    w = pii.weights()
+    found = lambda t: [(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), w)]
+    assert found("call 743 555 3824 743 555 3825") == [("phone", "743 555 3824"), ("phone", "743 555 3825")]
+    assert found("(743) 555-3824 (743) 555-3825") == [("phone", "(743) 555-3824"), ("phone", "(743) 555-3825")]
+    assert found("4465_7583_8288_9437 4465_7583_8288_9437") == [("card", "4465_7583_8288_9437")] * 2
+    assert found("sam [at] corp.com. Thanks") == [("email", "sam [at] corp.com")]
+    assert len(found("call " + " ".join(f"743-555-382{k}" for k in range(7)))) == 7
+    # a candidate that a base span cuts short is still offered up to it
+    text = "743 555 3824 743 +1 (555) 123-4567"
+    assert ("phone", 0, 12) in pii.candidates(text, [(a, b) for _, a, b in pii.base_spans(text)])
+
+
+def test_pii_segments():
+    rng = random.Random(4)
+    for _ in range(60):
+        segs = [(rng.uniform(-2, 3), "card", a, a + rng.randrange(1, 8)) for a in rng.choices(range(20), k=7)]
+        fits = [c for n in range(8) for c in itertools.combinations(segs, n) if all(x[3] <= y[2] or y[3] <= x[2] for x, y in itertools.combinations(c, 2))]
+        z, p = pii._partition(segs)
+        each = [np.exp(sum(s[0] for s in c)) for c in fits]
+        assert np.isclose(z, np.log(sum(each))) and np.allclose(p, [sum(e for c, e in zip(fits, each) if any(s is x for x in c)) / sum(each) for s in segs])
+        assert np.isclose(sum(max(s[0] for s in segs if s[1:] == g) for g in pii.best_segments(segs)), max(sum(s[0] for s in c) for c in fits))
+
+
 def test_bpe(spark, odd):
     ranks = bpe.default_ranks()
     enc = bpe._encoder(ranks)

@@ -97,7 +97,6 @@ CUES = {
     "card": ("card", "visa", "credit", "payment", "mastercard"),
     "phone": ("phone", "call", "tel", "mobile", "fax"),
 }
-_HINT = re.compile(r"[0-9][ ./_()\[\]-]{1,3}[0-9]|@|\bat\b.{1,42}\bdot\b|[\[({]\s?at")
 _WORD = re.compile(r"[A-Za-z]+")
 
 
@@ -365,8 +364,6 @@ def weights(seed: int = 11, epochs: int = 12, rate: float = 0.3, decay: float =
 
 
 def added_spans(text: str, base: list[tuple[str, int, int]], w: dict[str, float]) -> list[tuple[str, int, int]]:
-    if not _HINT.search(text):
-        return []
     found = candidates(text, [(a, b) for _, a, b in base])
     # features never met in training count as evidence against the segment
     scored = [(sum(w.get(f, -0.5) for f in features(text, *s)) - MARGIN, *s) for s in found]

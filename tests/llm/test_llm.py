@@ -193,6 +193,18 @@ def test_pii_segments():
         assert np.isclose(sum(max(s[0] for s in segs if s[1:] == g) for g in pii.best_segments(segs)), max(sum(s[0] for s in c) for c in fits))
 
 
+@pytest.mark.parametrize("kind,span", [
+    ("phone", "(743) 555-3824"), ("phone", "743 555 3824"), ("phone", "743-555-3824"), ("phone", "743.555.3824"), ("phone", "743/555/3824"), ("phone", "0049 743 555 381"),
+    ("email", "ana [at] mail [dot] com"), ("email", "jo.lee at mail dot org"), ("email", "max_19(at)corp.com"), ("email", "max_19 [at] corp.com"), ("email", "sam @ corp.net"),
+    ("card", "4465_7583_8288_9437"), ("card", "4465/7583/8288/9437"), ("card", "4465.7583.8288.9437"), ("card", "4465  7583  8288  9437"),
+    ("ip", "10[.]1[.]2[.]3"), ("ip", "10 . 1 . 2 . 3"), ("ip", "10 [.] 1 [.] 2 [.] 3"), ("ip", "10[dot]1[dot]2[dot]3"),
+])
+def test_pii_templates(kind, span):
+    """One line for each way the training generator writes an entity, with nothing else in it."""
+    text = f"server {span} page"
+    assert pii.added_spans(text, pii.base_spans(text), pii.weights()) == [(kind, 7, 7 + len(span))]
+
+
 def test_bpe(spark, odd):
     ranks = bpe.default_ranks()
     enc = bpe._encoder(ranks)

@@ -4,8 +4,8 @@ Law `rows`: at any time the shards' row counts differ by at most one. Documents
 key. In each round a linked document (its text occurs again) wants the shard that holds most of its group,
 ties by hash. Between each pair of shards, wishes in opposite directions are exchanged; further wishes are met
 as far as documents without links in the wanted shard can go back the other way. So every move is paired and
-the counts never change. A group larger than half a shard is dealt by hash into parts of that size, each a
-group of its own: no shard could hold it whole.
+the counts never change. A group larger than a shard is dealt by rank into ceil(size / capacity) parts, full ones
+and one rest, each a group of its own: no shard could hold it whole.
 
 Size is the text's UTF-8 bytes plus 8; null text counts as empty and equals it. Null and repeated doc_ids are
 rows of their own. An empty table gives no rows.
@@ -60,14 +60,13 @@ def shard(docs: DataFrame, shards: int = 24, rounds: int = 4, id_col: str = "doc
     )
     d = stable(ranks(d.withColumn("all", F.lit(0)), ["all"], "key", ["grp", "doc_id"], "node").drop("all"))
     n = d.count()
-    room = max(1, n // shards // 2)
+    whole = max(1, n // shards)
     groups = stable(d.groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    part = F.pmod(F.xxhash64("key", "node"), F.ceil(F.col("c") / F.lit(room)).cast("long"))
+    known = stable(d.join(groups, "grp", "left").select("node", "key", "grp", "c", F.pmod("node", F.lit(shards)).cast("int").alias("shard")))
+    large = ranks(known.where(F.col("c") > whole), ["grp"], "key", ["node"], "r")
     nodes = stable(
-        d.join(groups, "grp", "left").select(
-            "node", "key", F.when(F.col("c").isNotNull(), F.xxhash64("grp", F.when(F.col("c") > room, part).otherwise(F.lit(0).cast("long")))).alias("unit"),
-            F.pmod("node", F.lit(shards)).cast("int").alias("shard"),
-        )
+        known.where(F.col("c").isNull() | (F.col("c") <= whole)).select("node", "key", F.when(F.col("c").isNotNull(), F.xxhash64("grp", F.lit(0).cast("long"))).alias("unit"), "shard")
+        .unionByName(large.select("node", "key", F.xxhash64("grp", F.floor(F.col("r") / whole).cast("long")).alias("unit"), "shard"))
     )
     for _ in range(rounds):
         moves = stable(_moves(nodes, shards))

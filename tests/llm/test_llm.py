@@ -126,6 +126,23 @@ def test_sharding(odd, spark):
     assert sharding.shard(odd.limit(0)).count() == 0
 
 
+def _places(spark, texts, **kw):
+    """Per text the sizes of its parts, and the shards' row counts."""
+    got = sharding.shard(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **kw).collect()
+    parts, rows = {}, {}
+    for r in got:
+        parts.setdefault(texts[r.doc_id], {}).setdefault(r.shard, 0)
+        parts[texts[r.doc_id]][r.shard] += 1
+        rows[r.shard] = rows.get(r.shard, 0) + 1
+    assert len(got) == len(texts) and max(rows.values()) - min(rows.values()) <= 1
+    return {t: sorted(p.values(), reverse=True) for t, p in parts.items()}
+
+
+def test_sharding_large_group(spark):
+    """A group of more than half a shard fits in one and stays whole."""
+    assert _places(spark, ["a"] * 70 + [f"t{k}" for k in range(330)], shards=4)["a"] == [70]
+
+
 def test_language_id(spark, odd):
     docs = spark.read.parquet(f"{D}/documents.parquet")
     got = language_id.query(spark, D).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()

@@ -1,11 +1,13 @@
 """Balanced label propagation: documents with equal texts move to one shard while counts stay even. DataFrame functions only.
 
-Law `rows`: at any time the shards' row counts differ by at most one. Documents start dealt evenly by a hash
-key. In each round a linked document (its text occurs again) wants the shard that holds most of its group,
-ties by hash. Between each pair of shards, wishes in opposite directions are exchanged; further wishes are met
-as far as documents without links in the wanted shard can go back the other way. So every move is paired and
-the counts never change. A group larger than a shard is dealt by rank into ceil(size / capacity) parts, full ones
-and one rest, each a group of its own: no shard could hold it whole.
+Law `rows`: the shards' row counts differ by at most one. Documents start dealt evenly by a hash key; that deal
+fixes every shard's capacity. The documents of one text (two or more) are a unit; a unit above the capacity is
+dealt by rank into ceil(size / capacity) parts, full ones and one rest, each a unit. In each round a unit without a shard
+wants, of the shards with room for all of it, the one that holds most of its members; where none of those holds any,
+a shard by hash, the likelier the more room it has. Each shard takes larger units first as long as they fit, and units it
+has no room for want another one in the next round. Rounds end when no unit is left that fits anywhere; what is left then, fewer units
+than shards, is cut into as few pieces as the largest rooms allow. Documents without links stay where they are as
+far as there is room and else fill the other shards. So only texts above a shard's capacity and those last units are cut.
 
 Size is the text's UTF-8 bytes plus 8; null text counts as empty and equals it. Null and repeated doc_ids are
 rows of their own. An empty table gives no rows.
@@ -13,45 +15,79 @@ rows of their own. An empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import itertools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import discard, hash_key, ranks, stable, table
+from marlstone.llm.common import discard, hash_key, prefix_sums, ranks, stable, table
 
 SEED = "shard-1:"
 
 
-def _moves(nodes: DataFrame, shards: int) -> DataFrame:
-    """(node, shard_to) of one round, paired so that each shard gets as many rows as it gives."""
-    held = nodes.where("unit is not null").groupBy("unit", "shard").agg(F.count(F.lit(1)).alias("c"))
-    best = held.groupBy("unit").agg(F.max(F.struct("c", F.xxhash64("unit", "shard").alias("h"), "shard"))["shard"].alias("wish"))
-    wants = stable(nodes.join(best, "unit").where("shard <> wish").select("node", "key", F.col("shard").alias("src"), F.col("wish").alias("dst")))
-    x = wants.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("x"))
-    back = x.select(F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("x").alias("y"))
-    free = nodes.where("unit is null").groupBy(F.col("shard").alias("dst")).agg(F.count(F.lit(1)).alias("free"))
-    into = Window.partitionBy("dst")
-    quota = (
-        x.join(back, ["src", "dst"], "left").join(free, "dst", "left")
-        .withColumn("pair", F.least("x", F.coalesce("y", F.lit(0))))
-        .withColumn("rest", F.col("x") - F.col("pair"))
-        .withColumn("all", F.sum("rest").over(into))
-        .withColumn("free", F.coalesce("free", F.lit(0)))
-        .withColumn("swap", F.when(F.col("all") <= F.col("free"), F.col("rest")).otherwise(F.floor(F.col("free") * F.col("rest") / F.col("all"))))
-        .withColumn("give_to", F.sum("swap").over(into.orderBy("src")))
-        .select("src", "dst", (F.col("pair") + F.col("swap")).alias("most"), "swap", "give_to")
+def _array(numbers: list[int]) -> Column:
+    return F.array(*[F.lit(int(k)).cast("long") for k in numbers])
+
+
+def _wishes(units: DataFrame, room: list[int]) -> DataFrame:
+    """Adds `wish` to the units that fit in some shard; the others go."""
+    chance = lambda s: (F.pmod(F.xxhash64("unit", s), F.lit(1 << 30)) + 1) / F.lit(float(1 << 30))
+    fits = F.filter(
+        F.transform(_array(room), lambda r, s: F.struct(F.coalesce(F.try_element_at("held", s), F.lit(0).cast("long")).alias("own"), (F.log(chance(s)) / F.greatest(r, F.lit(1))).alias("draw"), s.alias("shard"), r.alias("room"))),
+        lambda x: x["room"] >= F.col("c"),
     )
-    quota = stable(quota.coalesce(1))
-    linked = ranks(wants, ["src", "dst"], "key", ["node"], "r").join(quota, ["src", "dst"]).where("r < most").select("node", F.col("dst").alias("shard_to"))
-    # The r-th free document of a shard goes to the shard whose range of returns holds r.
-    singles = ranks(nodes.where("unit is null").select("node", "key", "shard"), ["shard"], "key", ["node"], "r")
-    ranges = quota.where("swap > 0").select(F.col("dst").alias("shard"), F.col("src").alias("shard_to"), (F.col("give_to") - F.col("swap")).alias("lo"), F.col("give_to").alias("hi"))
-    per_shard = ranges.groupBy("shard").agg(F.collect_list(F.struct("lo", "hi", "shard_to")).alias("ranges"))  # at most one range per shard
-    to = F.get(F.filter("ranges", lambda g: (F.col("r") >= g["lo"]) & (F.col("r") < g["hi"])), F.lit(0))["shard_to"]
-    freed = singles.join(per_shard, "shard").select("node", to.alias("shard_to")).where("shard_to is not null")
-    return linked.unionByName(freed)
-
-
-def shard(docs: DataFrame, shards: int = 24, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return units.withColumn("wish", F.array_max(fits)["shard"]).where("wish is not null")
+
+
+def _place(units: DataFrame, room: list[int]) -> tuple[list[DataFrame], DataFrame, list[int]]:
+    """Tables (unit, shard) of the units placed whole, those that fit nowhere, and the room left. Units are unit, c, held."""
+    placed, room = [], list(room)
+    while True:
+        # larger units first: a hex digit of the size's power of two, then a hash
+        order = F.concat(F.lower(F.hex(F.greatest(F.lit(0), 15 - F.floor(F.log2("c"))))), F.md5(F.col("unit").cast("string")))
+        wanting = _wishes(units, room).withColumn("order", order).withColumn("limit", F.element_at(_array(room), F.col("wish") + 1))
+        took = stable(prefix_sums(wanting, ["wish"], "c", "order", ["unit"], "before").where("before + c <= limit").select("unit", "c", F.col("wish").cast("int").alias("shard")))
+        filled = took.groupBy("shard").agg(F.sum("c").alias("c")).collect()
+        if not filled:
+            return placed, units, room
+        for r in filled:
+            room[r["shard"]] -= r["c"]
+        placed.append(took.select("unit", "shard"))
+        after = stable(units.join(took.select("unit"), "unit", "left_anti"))
+        discard(units)
+        units = after
+
+
+def _cut(units: list[tuple[int, int]], room: list[int]) -> tuple[list[tuple[int, int, int, int]], list[int]]:
+    """Pieces (unit, lo, hi, shard) of the units (unit, size) that fit nowhere whole: ranks lo to hi go to the shard."""
+    pieces, room = [], list(room)
+    for unit, size in sorted(units, key=lambda u: (-u[1], u[0])):
+        lo = 0
+        while lo < size:
+            rest = size - lo
+            snug = [s for s in range(len(room)) if room[s] >= rest]
+            s = min(snug, key=lambda k: (room[k], k)) if snug else max(range(len(room)), key=lambda k: (room[k], -k))
+            hi = lo + min(rest, room[s])
+            pieces.append((unit, lo, hi, s))
+            room[s] -= hi - lo
+            lo = hi
+    return pieces, room
+
+
+def _fill(free: DataFrame, room: list[int]) -> DataFrame:
+    """(node, shard) of the documents without links: those that fit stay, the others fill what room is left elsewhere."""
+    ranked = stable(ranks(free, ["shard"], "key", ["node"], "r"))
+    have = {r["shard"]: r["c"] for r in ranked.groupBy("shard").agg(F.count(F.lit(1)).alias("c")).collect()}
+    over = [max(0, have.get(s, 0) - room[s]) for s in range(len(room))]
+    lack = [max(0, room[s] - have.get(s, 0)) for s in range(len(room))]
+    first = [0, *itertools.accumulate(over)][:-1]
+    at = lambda numbers: F.element_at(_array(numbers), F.col("shard") + 1)
+    turn = at(first) + F.col("r") - at(room)
+    other = F.size(F.filter(_array(list(itertools.accumulate(lack))), lambda end: end <= turn))
+    return ranked.select("node", F.when(F.col("r") < at(room), F.col("shard")).otherwise(other).cast("int").alias("shard"))
+
+
+def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (null: the law is `rows`)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(
@@ -60,22 +96,37 @@ def shard(docs: DataFrame, shards: int = 24, rounds: int = 4, id_col: str = "doc
     )
     d = stable(ranks(d.withColumn("all", F.lit(0)), ["all"], "key", ["grp", "doc_id"], "node").drop("all"))
     n = d.count()
+    room = [n // shards + (s < n % shards) for s in range(shards)]
     whole = max(1, n // shards)
     groups = stable(d.groupBy("grp").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    known = stable(d.join(groups, "grp", "left").select("node", "key", "grp", "c", F.pmod("node", F.lit(shards)).cast("int").alias("shard")))
-    large = ranks(known.where(F.col("c") > whole), ["grp"], "key", ["node"], "r")
+    start = F.pmod("node", F.lit(shards)).cast("int").alias("shard")
+    known = stable(d.join(groups, "grp", "left").select("node", "key", "grp", "c", start))
+    linked = known.where("c is not null")
+    large = ranks(linked.where(F.col("c") > whole), ["grp"], "key", ["node"], "r")
     nodes = stable(
-        known.where(F.col("c").isNull() | (F.col("c") <= whole)).select("node", "key", F.when(F.col("c").isNotNull(), F.xxhash64("grp", F.lit(0).cast("long"))).alias("unit"), "shard")
+        linked.where(F.col("c") <= whole).select("node", "key", F.xxhash64("grp", F.lit(0).cast("long")).alias("unit"), "shard")
         .unionByName(large.select("node", "key", F.xxhash64("grp", F.floor(F.col("r") / whole).cast("long")).alias("unit"), "shard"))
     )
-    for _ in range(rounds):
-        moves = stable(_moves(nodes, shards))
-        if moves.isEmpty():
-            break
-        after = stable(nodes.join(moves, "node", "left").withColumn("shard", F.coalesce("shard_to", "shard").cast("int")).drop("shard_to"))
-        discard(nodes)
-        nodes = after
-    placed = d.select("node", "doc_id", "size", "text_crc32").join(nodes.select("node", "key", "shard"), "node")
+    held = nodes.groupBy("unit", "shard").agg(F.count(F.lit(1)).alias("own"))
+    units = stable(held.groupBy("unit").agg(F.sum("own").alias("c"), F.map_from_entries(F.collect_list(F.struct("shard", "own"))).alias("held")))
+    placed, left, room = _place(units, room)
+    rest = [(r["unit"], r["c"]) for r in left.select("unit", "c").collect()]  # fewer than there are shards
+    pieces, room = _cut(rest, room)
+    goes = []
+    if placed:
+        found = placed[0]
+        for p in placed[1:]:
+            found = found.unionByName(p)
+        goes.append(nodes.select("node", "unit").join(found, "unit").select("node", "shard"))
+    if pieces:
+        cut = docs.sparkSession.createDataFrame(pieces, "unit long, lo long, hi long, to int")
+        few = ranks(nodes.where(F.col("unit").isin([u for u, _ in rest])), ["unit"], "key", ["node"], "r")
+        goes.append(few.join(F.broadcast(cut), "unit").where("r >= lo and r < hi").select("node", F.col("to").alias("shard")))
+    goes.append(_fill(known.where("c is null").select("node", "key", "shard"), room))
+    to = goes[0]
+    for g in goes[1:]:
+        to = to.unionByName(g)
+    placed = d.select("node", "doc_id", "size", "text_crc32", "key").join(to, "node")
     return ranks(placed, ["shard"], "key", ["node"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )

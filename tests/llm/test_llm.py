@@ -143,6 +143,22 @@ def test_sharding_large_group(spark):
     assert _places(spark, ["a"] * 70 + [f"t{k}" for k in range(330)], shards=4)["a"] == [70]
 
 
+def test_sharding_large_groups(spark):
+    """A group that fits in a shard stays whole; a larger one has as many parts as its size needs."""
+    got = _places(spark, ["a"] * 90 + ["b"] * 60 + ["c"] * 190 + [f"t{k}" for k in range(60)], shards=4)
+    assert got["a"] == [90] and got["b"] == [60] and got["c"] == [100, 90]
+
+
+def test_sharding_all_linked(spark):
+    """No free documents: groups whose shard is full go where there is room, and all stay whole."""
+    got = _places(spark, [f"t{k % 40}" for k in range(400)], shards=4)
+    assert all(p == [10] for p in got.values())
+    got = _places(spark, [f"t{k // 2}" for k in range(1200)], shards=8)
+    assert sum(len(p) > 1 for p in got.values()) == 0
+    # three groups of 4 in four shards of 3: none fits whole, each has its larger part in one shard
+    assert all(p[0] == 3 for p in _places(spark, ["a", "b", "c"] * 4, shards=4).values())
+
+
 def test_language_id(spark, odd):
     docs = spark.read.parquet(f"{D}/documents.parquet")
     got = language_id.query(spark, D).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()

@@ -44,11 +44,26 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8 the smallest doc_id stays."""
-    parts = ngram_join.jaccard_components(docs, n=5, num=4, den=5)
+    """Of documents linked by five-word shingles at a similarity of 0.8 the row with the smallest doc_id stays, null ids last, once.
+
+    Rows are told apart by doc_id and text, so texts that share a doc_id, or have none, are dropped or kept each for itself.
+    """
+    keys = ["_near_id", "_near_none", "_near_sha"]
+    named = docs.withColumns({keys[0]: F.coalesce("doc_id", F.lit(-1)), keys[1]: F.col("doc_id").isNull(), keys[2]: F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))})
+    # the operator's ids are longs: a hash of the key stands for it there, the key itself decides what goes
+    rows = named.select(F.xxhash64(*keys).alias("_row"), *keys, "text")
+    parts = stable(ngram_join.jaccard_components(rows, n=5, num=4, den=5, id_col="_row").where("n_shingles > 0"))
+    linked = parts.groupBy("component_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("component_id")
+    met = stable(parts.join(linked, "component_id", "left_semi").select(F.col("doc_id").alias("_row"), "component_id").distinct().join(rows.drop("text"), "_row"))
+    order = F.struct("_near_none", "_near_id", "_near_sha")
+    first = stable(met.groupBy("component_id").agg(F.min(order).alias("first")))
     # a table, so that its size is known when the join is planned: Spark broadcasts it below its threshold, else both sides move
-    gone = stable(parts.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    told = stable(met.join(first, "component_id").select(*keys, (order == F.col("first")).alias("kept")).groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c")).where("not kept or c > 1"))
+    kept = named.join(told.select(keys), keys, "left_anti")
+    repeated = told.where("kept").select(keys)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return kept.select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -270,3 +270,14 @@ def test_pipeline(spark, odd, tmp_path):
     assert ids and not ids & {1, 3, 4, 5, 10}  # copies, blanks and letterless texts are gone
     raw = {r.doc_id: r.text for r in columns.collect()}
     assert all(r.decoded_sha256 == hashlib.sha256(raw[r.doc_id].encode()).hexdigest() for r in out)
+
+
+def test_pipeline_near_copies_by_row(spark):
+    """A doc_id with two texts loses only the near copy; near copies without doc_id leave one."""
+    import corpus_pipeline
+
+    one, two, own = (" ".join(f"{p}{k}" for k in range(60)) for p in "abc")
+    rows = [(1, one), (2, one + " x"), (2, own), (None, two), (None, two + " y"), (None, two + " z"), (3, None), (3, "")]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got if r.doc_id != 3) == sorted([(1, one), (2, own), (0, next(r.text for r in got if r.doc_id is None))])
+    assert sum(r.doc_id == 3 for r in got) == 2

@@ -1,16 +1,16 @@
 """Byte-level BPE encoding and decoding over a global table of distinct words.
 
 1. Documents are dealt in chunks; each chunk splits its whole texts into pre-tokens with positions and sends each
-   distinct one, packed, to a hash range of words.
-2. Each range unites what all chunks sent, encodes each distinct word once, and answers every chunk with the ids of
-   its words in the order sent.
+   distinct one, packed, towards a hash range of words. Chunks meet in blocks first, which unite their words, and blocks
+   meet in the ranges (packing.grid), so a word that every chunk has reaches no task more often than about sqrt(chunks) times.
+2. Each range encodes each distinct word once, by merging the pair of least rank until none is left; ids go back the
+   same way, to the blocks and to the chunks, in the order sent.
 3. The chunk's texts meet those ids, and each document's ids are reassembled by position.
-A word in a third of all documents is sent once per chunk. Decoding looks ids up in the table of token bytes, whose
-size is the vocabulary's.
+Decoding joins ids with the table of token bytes, whose size is the vocabulary's.
 
 Null and empty texts give no ids. Repeated rows and null doc_ids are rows of their own. An empty table gives no
-rows. Words are told apart by 64-bit fingerprints; every chunk is rebuilt from its distinct words and compared with
-its texts, so a clash raises an error. Unpaired surrogates cannot occur in Spark strings.
+rows, extra columns are not read, very long texts are split in one piece. Words are ordered by 64-bit fingerprints and
+told apart by their bytes, so clashes change nothing. Unpaired surrogates cannot occur in Spark strings.
 
 The split follows the pattern of the rank files: letters, numbers, others, each with one space before; contractions
 ('s 't 're 've 'm 'll 'd) where an apostrophe opens a pre-token; white space up to the last character before a word.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 
 import numpy as np
 import pandas as pd
@@ -27,15 +28,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import table
-from marlstone.llm.packing import chunk_count, chunked, docs_of, squeeze, unsqueeze
-from marlstone.llm.shingles import _INVERSE, mix, powers
+from marlstone.llm.packing import borders, chunk_count, chunked, cuts_of, docs_of, grid, squeeze, sub_borders, unsqueeze
+from marlstone.llm.shingles import piece_hashes
 
 #: What may follow an apostrophe in a contraction.
 SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+#: Documents of a chunk: more of them share more of their words, which travel once per chunk.
+CHUNK_ROWS = 3000
 _SLICE = 1 << 18
-_CODES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 @functools.cache
@@ -84,9 +86,9 @@ def boundaries(codes: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def split_words(texts: list[str], parts: int = 1) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pre-tokens by fingerprint, index of each pre-token's word in order of position, offsets of the
-    texts' pre-tokens, cuts of the distinct ones at the borders of `parts` equal fingerprint ranges)."""
+def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pre-tokens by fingerprint and bytes, their fingerprints, index of each pre-token's word in order of
+    position, offsets of the texts' pre-tokens)."""
     bodies, begins, prints, counts = [], [], [], []
     i = base = 0
     while i < len(texts):
@@ -103,22 +105,54 @@ def split_words(texts: list[str], parts: int = 1) -> tuple[list[bytes], np.ndarr
         width = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
         offs = np.concatenate(([0], np.cumsum(width)))
         a, b = offs[start], np.append(offs[start[1:]], offs[-1]) if len(start) else offs[:0]
-        run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_CODES[raw] * powers(len(raw)), dtype=np.uint64)))
-        prints.append(mix((run[b] - run[a]) * powers(len(raw) + 1, _INVERSE)[a] + (b - a).astype(np.uint64)))
+        prints.append(piece_hashes(raw, a, b))
         bodies.append(body), begins.append(a + base)
         counts.append(np.diff(np.searchsorted(start, cuts)))
         base += len(body)
         i = j
     if not bodies:
-        return [], np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(parts + 1, np.int64)
+        return [], np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(1, np.int64)
     data, begin = b"".join(bodies), np.concatenate(begins)
     end = np.append(begin[1:], base)
-    u, first, index = np.unique(np.concatenate(prints), return_index=True, return_inverse=True)
+    fp = np.concatenate(prints)
+    u, first, index = np.unique(fp, return_index=True, return_inverse=True)
     words = [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist())]
-    if b"".join([words[x] for x in index.tolist()]) != data:
-        raise ValueError("two words share a fingerprint")
-    borders = np.array([((r << 64) + parts - 1) // parts for r in range(parts)], np.uint64)
-    return words, index, np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.append(np.searchsorted(u, borders), len(u))
+    if b"".join([words[x] for x in index.tolist()]) != data:  # two words share a fingerprint
+        every = [(int(h), data[x:y]) for h, x, y in zip(fp, begin.tolist(), end.tolist())]
+        place = {w: k for k, w in enumerate(sorted(set(every)))}
+        words, u = [w for _, w in place], np.array([h for h, _ in place], np.uint64)
+        index = np.array([place[w] for w in every], np.int64)
+    return words, u, index, np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+
+
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word: of all neighbouring pieces the pair of least rank, leftmost first, is joined until none has a rank."""
+    if word in ranks:
+        return [ranks[word]]
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the piece that starts at each place; end 0: gone
+    heap = [(ranks[p], k, k + 2) for k in range(n - 1) if (p := word[k : k + 2]) in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, a, b = heapq.heappop(heap)
+        mid = end[a]
+        if not mid or mid >= n or end[mid] != b:
+            continue  # one of the two has been joined with another since
+        end[a], end[mid] = b, 0
+        if b < n:
+            before[b] = a
+            p = word[a : end[b]]
+            if p in ranks:
+                heapq.heappush(heap, (ranks[p], a, end[b]))
+        if a:
+            p = word[before[a] : b]
+            if p in ranks:
+                heapq.heappush(heap, (ranks[p], before[a], b))
+    out, k = [], 0
+    while k < n:
+        out.append(ranks[word[k : end[k]]])
+        k = end[k]
+    return out
 
 
 def _pack(lens, body: bytes) -> bytes:
@@ -143,58 +177,77 @@ def _tokens(ranks: bytes) -> dict[bytes, int]:
 
 
 @functools.cache
-def _encoder(ranks: bytes):
-    import tiktoken
-    from public_tokenizers import PATTERN
+def token_bytes(ranks: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The table of token bytes by id: all bytes in a row and where each id's begin."""
+    of = {i: b for b, i in _tokens(ranks).items()}
+    parts = [of.get(i, b"") for i in range(max(of) + 1)]
+    return np.frombuffer(b"".join(parts), np.uint8), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_tokens(ranks), special_tokens={})
 
+def _words(packed: bytes) -> list[bytes]:
+    lens, body = _unpack(packed)
+    ends = np.cumsum(lens).tolist()
+    return [body[a:b] for a, b in zip([0, *ends], ends)]
 
-@functools.cache
-def _bytes_of(ranks: bytes) -> dict[int, bytes]:
-    return {i: b for b, i in _tokens(ranks).items()}
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return _pack([len(w) for w in words], b"".join(words))
 
 
-def _decoded(ids: np.ndarray, of: dict[int, bytes]) -> bytes:
-    return b"".join([of[i] for i in ids.tolist()])
+def _pack_ids(ids: list[bytes]) -> bytes:
+    return _pack([len(x) >> 2 for x in ids], b"".join(ids))
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
-    """One row per document: doc_id, ids array<int>; with_bytes adds what the ids decode to, as decode() does, in the same task."""
-    total = docs.select(F.lit(1)).count()
-    chunks = chunk_count(total)
+def _ids(packed: bytes) -> list[bytes]:
+    lens, body = _unpack(packed)
+    ends = (4 * np.cumsum(lens)).tolist()
+    return [body[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, ids array<int>."""
+    chunks = chunk_count(docs.select(F.lit(1)).count(), CHUNK_ROWS)
+    blocks, subs = grid(chunks)
+    first = borders(0, 1 << 64, blocks)
     d = chunked(docs, chunks, id_col, text_col)
 
-    def send(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        words, _, _, cuts = split_words(list(docs_of(pdf)["text"]), chunks)
-        rows = []
-        for p in np.flatnonzero(np.diff(cuts)).tolist():
-            mine = words[cuts[p] : cuts[p + 1]]
-            rows.append((key[0], p, _pack([len(w) for w in mine], b"".join(mine))))
-        return pd.DataFrame(rows, columns=["chunk", "part", "words"])
-
-    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        one = _encoder(ranks)._encode_single_piece
-        ids: dict[bytes, list[int]] = {}
-        out = []
+    def send(key, pdf):
+        words, fp, _, _ = split_words(list(docs_of(pdf)["text"]))
+        rows = [(key[0] % blocks, p, key[0], _pack_words(words[a:b])) for p, a, b in cuts_of(fp, first)]
+        return pd.DataFrame(rows, columns=["block", "part", "chunk", "words"])
+
+    def united(pdf):
+        """Distinct words of a block and range, by fingerprint and bytes, and their fingerprints."""
+        words = sorted({w for x in pdf["words"] for w in _words(x)})
+        ends = np.cumsum([len(w) for w in words])
+        fp = piece_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
+        by = np.argsort(fp, kind="stable")
+        return [words[k] for k in by.tolist()], fp[by]
+
+    def unite(key, pdf):
+        words, fp = united(pdf)
+        rows = [(*key, s, _pack_words(words[a:b])) for s, a, b in cuts_of(fp, sub_borders(key[1], 64, blocks, subs))]
+        return pd.DataFrame(rows, columns=["block", "part", "sub", "words"])
+
+    def answer(pdf):
+        table, ids, out = _tokens(ranks), {}, []
         for packed in pdf["words"]:
-            lens, body = _unpack(packed)
-            got, at = [], 0
-            for n in lens.tolist():
-                w = body[at : at + n]
-                at += n
+            got = []
+            for w in _words(packed):
                 found = ids.get(w)
                 if found is None:
-                    found = ids[w] = one(w)
+                    found = ids[w] = np.array(merge(w, table), np.int32).tobytes()
                 got.append(found)
-            flat = np.fromiter((x for g in got for x in g), np.int32)
-            out.append(_pack([len(g) for g in got], flat.tobytes()))
-        return pd.DataFrame({"chunk": pdf["chunk"], "part": pdf["part"], "ids": out})
+            out.append(_pack_ids(got))
+        return pdf[["block", "part", "sub"]].assign(ids=out)
+
+    def back(key, sent, found):
+        ids = dict(zip(united(sent)[0], [x for packed in found.sort_values("sub")["ids"] for x in _ids(packed)]))
+        return sent[["chunk", "part"]].assign(ids=[_pack_ids([ids[w] for w in _words(x)]) for x in sent["words"]])
 
-    def join(key, docs: pd.DataFrame, ids: pd.DataFrame) -> pd.DataFrame:
+    def join(key, docs, ids):
         docs = docs_of(docs)
-        texts = list(docs["text"])
-        words, flat, offs, _ = split_words(texts)
+        _, _, flat, offs = split_words(list(docs["text"]))
         found = [_unpack(x) for x in ids.sort_values("part")["ids"]]
         lens = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
         all_ids = np.frombuffer(b"".join(x[1] for x in found), np.int32)
@@ -203,26 +256,29 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         ends = np.concatenate(([0], np.cumsum(n)))
         out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
         cut = ends[offs]
-        res = pd.DataFrame({"ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
-        res.insert(0, "doc_id", docs["doc_id"])
-        if with_bytes:
-            of = _bytes_of(ranks)
-            res["bytes"] = [_decoded(x, of) for x in res["ids"]]
-        return res
+        return pd.DataFrame({"doc_id": docs["doc_id"], "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
 
-    sent = d.groupBy("chunk").applyInPandas(send, "chunk int, part int, words binary")
-    answers = sent.groupBy("part").applyInPandas(answer, "chunk int, part int, ids binary")
-    return d.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>" + ", bytes binary" * with_bytes)
+    sent = d.groupBy("chunk").applyInPandas(send, "block int, part int, chunk int, words binary")
+    met = sent.groupBy("block", "part").applyInPandas(unite, "block int, part int, sub int, words binary")
+    answers = met.groupBy("part", "sub").applyInPandas(answer, "block int, part int, sub int, ids binary")
+    ids = sent.groupBy("block", "part").cogroup(answers.groupBy("block", "part")).applyInPandas(back, "chunk int, part int, ids binary")
+    return d.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
-    """Adds `bytes` to rows with an `ids` column: the table of token bytes looked up by id."""
+    """Adds `bytes` to rows with an `ids` column: a join with the table of token bytes, a batch of ids at a time."""
     from pyspark.sql.types import BinaryType, StructField, StructType
 
     def look_up(batches):
-        of = _bytes_of(ranks)
+        body, begin = token_bytes(ranks)
         for pdf in batches:
-            yield pdf.assign(bytes=[_decoded(x, of) for x in pdf["ids"]])
+            out = []
+            for ids in pdf["ids"]:
+                a = begin[ids]
+                n = begin[np.asarray(ids, np.int64) + 1] - a
+                ends = np.cumsum(n)
+                out.append(body[np.repeat(a - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes())
+            yield pdf.assign(bytes=out)
 
     return encoded.mapInPandas(look_up, StructType([*encoded.schema.fields, StructField("bytes", BinaryType())]))
 
@@ -240,4 +296,4 @@ def default_ranks() -> bytes:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = default_ranks()
-    return digest(encode(table(spark, sf_dir, "documents"), ranks, with_bytes=True))
+    return digest(decode(encode(table(spark, sf_dir, "documents"), ranks), ranks))

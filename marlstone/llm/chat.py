@@ -49,9 +49,11 @@ def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     """One row per conversation: conv_id, formatted, loss_spans array<struct<start,end>>."""
     one = F.struct(
         F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
-        escape(F.coalesce(F.col(text), F.lit(""))).alias("body"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    # sorted by the raw text, escaped afterwards: escapes would change the order of ties
     turns = rows.select(F.col(conv).alias("conv_id"), one.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    turns = turns.withColumn("ts", F.transform("ts", lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), escape(t["text"]).alias("body"))))
     # Runs of one role are cut at the rows where the role changes; each run is one slice of the sorted array.
     starts = F.filter(F.sequence(F.lit(1), F.size("ts")), lambda i: (i == 1) | (F.get(F.col("ts"), i - 1)["role"] != F.get(F.col("ts"), i - 2)["role"]))
     runs = F.transform(
@@ -116,7 +118,8 @@ def digest(chats: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
+    turn = lambda k, role: F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(PLANTED).alias("text"))
+    planted = spark.range(1).select(F.inline(F.array(turn(0, "user"), turn(1, "assistant"))))
     return digest(format_chats(rows.unionByName(planted)))
 
 

@@ -14,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset and the master is local (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="marlstone-ck-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at

@@ -6,9 +6,11 @@ vectors are dealt by hash into blocks of about BLOCK; a task gets one pair of bl
 quantisation errors reaches the threshold; only those are recomputed in double precision. A tile returns, per
 vector, how many others it links to and the smallest vector of its component within the tile: never pairs.
 
-Vectors that are null, empty, zero or hold null or non-finite components, null labels and null vec_ids link with
-nothing. A null vec_id has a null component. Rows that repeat a vec_id are rows of their own; as copies they count
-as each other's links. An empty table gives no rows.
+Vectors that are null, empty, zero or hold null or non-finite components, and null labels link with nothing. Rows
+without vec_id link as others do; their component is its smallest vec_id, null where it has none. Rows that repeat a
+vec_id are rows of their own; as copies they count as each other's links. An empty table gives no rows, extra columns
+are not read, vectors of any length are compared within their length. Every vector goes to each block of its label, so
+a label of n vectors shuffles n * n / BLOCK of them: exact search has that price, and the tiles have equal work.
 """
 
 from __future__ import annotations
@@ -68,22 +70,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     """One row per vector: vec_id, n_links, component_id, kept."""
     v = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).alias("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    able = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0)
-    v = v.withColumn("node", F.when(F.coalesce(able, F.lit(False)), F.xxhash64("label", "v")))
+    able = F.col("label").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0)
+    v = v.withColumn("node", F.when(F.coalesce(able, F.lit(False)), F.unhex(F.md5(F.to_binary(F.concat(F.col("label").cast("string"), F.lit(":"), F.array_join("v", ",")), F.lit("utf-8"))))))
     classes = stable(v.where("node is not null").groupBy("node", "label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     sizes = classes.groupBy("label", F.size("v").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = classes.withColumn("dim", F.size("v")).join(sizes, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("node", "rep"), F.col("blocks")).cast("int"))
+    dealt = classes.withColumn("dim", F.size("v")).join(sizes, ["label", "dim"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = dealt.select("label", "dim", "node", "v", "copies", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     tiles = tiles.select("label", "dim", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "v", "copies")
 
-    def work(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def work(key, pdf):
         lo, hi = key[2], key[3]
         x = np.array(pdf["v"].tolist(), np.float64)
         node, copies = pdf["node"].to_numpy(), pdf["copies"].to_numpy()
         first = np.flatnonzero(pdf["own"].to_numpy() == lo)
         second = first if lo == hi else np.flatnonzero(pdf["own"].to_numpy() == hi)
         if not len(first) or not len(second):
-            return pd.DataFrame({"u": [], "n": [], "root": []}).astype("int64")
+            return pd.DataFrame({"u": [], "n": [], "root": []})
         block = tile_links(x[first], x[second], threshold)
         links = np.zeros((len(x), len(x)), bool)
         links[np.ix_(first, second)] = block
@@ -94,14 +96,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         root = spread(links)
         return pd.DataFrame({"u": node[has], "n": n[has], "root": node[root[has]]})
 
-    found = stable(tiles.groupBy("label", "dim", "lo", "hi").applyInPandas(work, "u long, n long, root long"))
+    found = stable(tiles.groupBy("label", "dim", "lo", "hi").applyInPandas(work, "u binary, n long, root binary"))
     counts = found.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
-    names = classes.select("node", "rep")
-    edges = found.where("u <> root").join(names.withColumnsRenamed({"node": "u", "rep": "a"}), "u").join(names.withColumnsRenamed({"node": "root", "rep": "b"}), "root")
-    roots = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    done = stable(
-        classes.select("node", "rep", "copies").join(counts, "node", "left").join(roots.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("node", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")))
+    roots = components(found.where("u <> root").select("u", F.col("root").alias("v")))
+    tied = stable(
+        classes.select("node", "rep", "copies").join(counts, "node", "left").join(roots.withColumnsRenamed({"id": "node", "component": "root"}), "node", "left")
+        .select("node", "rep", "root", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    names = tied.where("root is not null").groupBy("root").agg(F.min("rep").alias("component"))
+    done = stable(tied.join(names, "root", "left").select("node", "n_links", F.when(F.col("root").isNull(), F.col("rep")).otherwise(F.col("component")).alias("component")))
     out = v.select("vec_id", "node").join(done, "node", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -22,7 +22,7 @@ def _small(e: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, component) of each vertex with an edge, from edges (u, v); component is the smallest id in reach.
+    """(id, component) of each vertex with an edge, from edges (u, v) of any ordered type; component is the smallest id in reach.
 
     Loops and repeated edges are ignored; no edges give no rows. Per step only the edges move, and a hub meets its
     neighbours as partial minima; the join back is between two tables, so a hub's rows can be split.
@@ -30,15 +30,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     e = stable(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     if e.isEmpty():
         return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    seen = None
+    n = e.count()
     for _ in range(rounds):
-        after = stable(_small(stable(_large(e))))
-        sign = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.col("v") % 1_000_033)).first()
+        large = stable(_large(e))
+        after = stable(_small(large))
+        discard(large)
+        m = after.count()
+        settled = m == n and after.join(e, ["u", "v"], "left_anti").isEmpty()  # the same edges: both steps leave them as they are
         discard(e)
-        e = after
-        if sign == seen:
+        e, n = after, m
+        if settled:
             break
-        seen = sign
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

@@ -19,11 +19,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-for _c in range(65, 91):
-    _BYTES[_c] = _BYTES[_c + 32]
+#: Letters as they count in words: A-Z lower-cased.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = bytes(FOLD)
+
+#: Places with a row in the table; bytes further into a word are mixed one by one.
+_PLACES = 64
+
+
+def _coded(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix((byte.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95) + place.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+_TABLE = _coded(np.tile(np.arange(256), _PLACES), np.repeat(np.arange(_PLACES), 256))
+
+
+def piece_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the pieces data[start:end], which must not overlap: the sum of a random value for each (byte, place in
+    the piece), mixed. Unlike a polynomial it has no texts that clash by their structure."""
+    at = np.zeros(len(data), np.int64)
+    at[start] = start
+    place = np.arange(len(data)) - np.maximum.accumulate(at)
+    value = _TABLE[(np.minimum(place, _PLACES - 1) << 8) | data]
+    far = np.flatnonzero(place >= _PLACES - 1)
+    value[far] = _coded(data[far], place[far])
+    run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
+    return mix(run[end] - run[start] + (end - start).astype(np.uint64))
 
 
 _POWERS: dict[int, np.ndarray] = {}
@@ -49,12 +73,20 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    # sum of byte code times base^offset; dividing by base^start makes it free of the place
-    pw = powers(len(data) + 1)
-    run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * pw[:-1], dtype=np.uint64)))
-    inv = powers(len(data) + 1, _INVERSE)
-    h = (run[end] - run[start]) * inv[start]
-    return start, mix(h + (end - start).astype(np.uint64))
+    return start, piece_hashes(FOLD[data], start, end)
+
+
+def words(raw: bytes) -> list[bytes]:
+    """The words themselves; bytes.split() parts at exactly the six blanks."""
+    return raw.translate(_LOWER).split()
+
+
+def exact_set(raw: bytes, n: int) -> set[tuple[bytes, ...]]:
+    """The shingles as tuples of words, for comparisons that must not rest on fingerprints."""
+    w = words(raw)
+    if len(w) < n:
+        return {tuple(w)} if w else set()
+    return set(zip(*[w[k:] for k in range(n)]))
 
 
 def shingle_sets(texts: list[str], n: int, most: int = 1 << 19) -> list[np.ndarray]:

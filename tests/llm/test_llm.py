@@ -83,30 +83,112 @@ def test_exact_dedup(odd):
     assert by[1].text_sha256 == by[2].text_sha256
 
 
+def _brute_components(rows, n, num, den):
+    """(set size, component) per row, by comparing all pairs of word sets."""
+
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+
+    sets = [shingles(t) for _, t in rows]
+    comp = list(range(len(rows)))
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+            comp[root(a)] = root(b)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(doc_id, least.get(root(i), doc_id))
+    return [(len(s), least.get(root(i))) for i, s in enumerate(sets)]
+
+
+def _joined(spark, rows, n, num, den):
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, node int, grp string")
+    key = lambda x: tuple((v is None, v or 0) for v in x)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, n, num, den).collect()), key=key), sorted(((i, s, c) for (i, _), (s, c) in zip(rows, _brute_components(rows, n, num, den))), key=key)
+
+
 @pytest.mark.parametrize("n,num,den", [(3, 9, 10), (5, 4, 5)])
-def test_ngram_join(spark, odd, n, num, den):
+def test_ngram_join(spark, odd, monkeypatch, n, num, den):
+    """Several chunks, null ids, repeated rows, copies and links of many strengths."""
+    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows: 7)
     rng = random.Random(n)
     base = [str(rng.randrange(999)) for _ in range(120)]
-    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect() if r.doc_id is not None]
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     for k in range(60):
         w = list(base)
         for _ in range(rng.randrange(5)):
             w[rng.randrange(120)] = str(rng.randrange(10**6))
-        rows.append((100 + k, " ".join(w[: rng.randrange(108, 121)])))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), n, num, den).collect()}
+        rows.append((None if k % 9 == 0 else 100 + k, " ".join(w[: rng.randrange(108, 121)])))
+    got, want = _joined(spark, rows, n, num, den)
+    assert got == want
+
+
+def test_ngram_join_null_id_links(spark):
+    """A text without doc_id joins two others; three such texts alone have no name."""
+
+    def chain(p, a, b, c):
+        w = [f"{p}{k}" for k in range(120)]
+        return [(a, " ".join([p, *w])), (b, " ".join([p, *w, "x1", "x2", "x3"])), (c, " ".join([*w[4:], "x1", "x2", "x3", "y1", "y2", "y3"]))]
+
+    rows = chain("p", 3, None, 1) + chain("r", None, None, None)
+    got, want = _joined(spark, rows, 3, 9, 10)
+    assert got == want and {r[2] for r in got} == {1, None}
 
-    def shingles(t):
-        w = (t or "").lower().split()
-        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
 
-    sets = {i: shingles(t) for i, t in rows}
-    comp = {i: i for i in sets}
-    for _ in sets:
-        for a, b in itertools.combinations(sets, 2):
-            both = len(sets[a] & sets[b])
-            if both and den * both >= num * len(sets[a] | sets[b]):
-                comp[a] = comp[b] = min(comp[a], comp[b])
-    assert got == {i: (len(sets[i]), comp[i]) for i in sets}
+def test_ngram_join_family(spark, monkeypatch):
+    """500 near copies, each with a prefix of its own, some linked and some not."""
+    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows: 5)
+    rng = random.Random(8)
+    base = [f"c{k}" for k in range(150)]
+    rows = []
+    for k in range(500):
+        w = list(base)
+        for _ in range(rng.choice((1, 2, 3, 4, 5))):
+            w[rng.randrange(150)] = f"z{rng.randrange(40)}"
+        rows.append((k, " ".join(w)))
+    got, want = _joined(spark, rows, 3, 9, 10)
+    assert got == want
+
+
+def _thue_morse():
+    """Two different words of 1024 letters that any polynomial fingerprint modulo 2^64 confuses."""
+    bits = [bin(k).count("1") & 1 for k in range(1024)]
+    return ["".join("ab"[b ^ f] for b in bits) for f in (0, 1)]
+
+
+def test_word_identity(spark):
+    a, b = _thue_morse()
+    rows = [(1, a), (2, b), (3, f"{a} {b} x"), (4, f"{b} {a} x"), (5, a * 3)]
+    got, want = _joined(spark, rows, 3, 9, 10)
+    assert got == want
+    ranks = bpe.default_ranks()
+    enc = _library(ranks)
+    got = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), ranks).collect()
+    assert {r.doc_id: list(r.ids) for r in got} == {i: enc.encode_ordinary(t) for i, t in rows}
+
+
+def test_frequencies(spark):
+    """The two-level exchange counts as one table would."""
+    from marlstone.llm import packing
+
+    rng = np.random.default_rng(3)
+    lists = {c: np.unique(np.append(rng.integers(0, 1 << 20, 200, dtype=np.uint64) ** np.uint64(2) % np.uint64(1 << 20), np.uint64(77))) for c in range(10)}
+    df = spark.createDataFrame([(c, x.view(np.int64).tolist()) for c, x in lists.items()], "chunk int, v array<long>")
+    prints = lambda pdf: (np.array(pdf["v"].iat[0], np.uint64), np.full(len(pdf["v"].iat[0]), 3))
+    got = {c: packing.levels_of(g) for c, g in packing.frequencies(df, prints, 20, 10).toPandas().groupby("chunk")}
+    total = {}
+    for x in lists.values():
+        for v in x.tolist():
+            total[v] = total.get(v, 0) + 3
+    assert {c: x.tolist() for c, x in got.items()} == {c: [total[v] for v in x.tolist()] for c, x in lists.items()}
 
 
 def test_mixing(odd):
@@ -238,9 +320,32 @@ def test_pii_templates(kind, span):
     assert pii.added_spans(text, pii.base_spans(text), pii.weights()) == [(kind, 7, 7 + len(span))]
 
 
-def test_bpe(spark, odd):
+def _library(ranks):
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe._tokens(ranks), special_tokens={})
+
+
+def test_merge():
+    ranks = bpe.default_ranks()
+    enc, table, rng = _library(ranks), bpe._tokens(ranks), random.Random(6)
+    for n in [*range(1, 40), 3000]:
+        w = "".join(rng.choice("aaabettrhinoé") for _ in range(n))
+        assert bpe.merge(w.encode(), table) == enc.encode_ordinary(w)
+
+
+def test_words_with_one_fingerprint(monkeypatch):
+    monkeypatch.setattr(bpe, "piece_hashes", lambda data, a, b: np.asarray(b - a, np.uint64))
+    words, fp, index, offs = bpe.split_words(["ab cd", "", "cd ab"])
+    assert len(set(words)) == len(words) == 4 and [b"".join(words[k] for k in index[a:b]) for a, b in itertools.pairwise(offs)] == [b"ab cd", b"", b"cd ab"]
+    assert (np.diff(fp.astype(int)) >= 0).all()
+
+
+def test_bpe(spark, odd, monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNK_ROWS", 300)
     ranks = bpe.default_ranks()
-    enc = bpe._encoder(ranks)
+    enc = _library(ranks)
     rng = random.Random(3)
     parts = list("aZé9½'!. \n\t\r\x1c\x85\xa0 中٣strevmld’_-\x00") + ["'s", "'ll", " '", "  ", "\n\n", "😀"]
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]

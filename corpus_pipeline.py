@@ -1,13 +1,15 @@
 """A corpus from raw documents to token ids: five stages, each on all rows the one before kept.
 
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents. run() writes each
-stage's rows as Parquet in the shared folder and reads them again for the next. Nulls, repeated rows and empty tables
-are handled as the operators' docstrings say; extra columns of docs are carried through the filtering stages.
+stage's rows as Parquet in the shared folder and reads them again for the next. Nulls, very long texts and empty tables
+are handled as the operators' docstrings say. Rows are told apart by doc_id and text: a repeated doc_id with different
+texts is as many documents, rows that repeat both are one, and null doc_ids are told apart by their texts. Extra columns
+of docs, whatever their names, are carried through the filtering stages and the mix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import bpe, exact_dedup, language_id, mixing, ngram_join
@@ -17,10 +19,36 @@ from marlstone.llm.common import stable, table
 SURE = 0.5
 
 
+def _own(docs: DataFrame, name: str) -> str:
+    """A column name that docs does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _keys(doc_id: Column, sha: Column) -> list[Column]:
+    """What tells rows apart, without nulls: doc_id, whether it is missing, the text's digest."""
+    return [F.coalesce(doc_id.cast("long"), F.lit(-1)), doc_id.isNull(), sha]
+
+
+def _without(docs: DataFrame, sha: Column, told: DataFrame) -> DataFrame:
+    """docs less the rows that `told` (id, none, sha, kept) names; of rows that repeat a kept one, one stays."""
+    keys = [_own(docs, f"row_{k}") for k in ("id", "none", "sha")]
+    named = docs.withColumns(dict(zip(keys, _keys(F.col("doc_id"), sha))))
+    told = told.withColumnsRenamed(dict(zip(("id", "none", "sha"), keys)))
+    kept = named.join(told.select(keys), keys, "left_anti")
+    repeated = told.where("kept").select(keys)
+    if not repeated.isEmpty():
+        kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
+    return kept.select(docs.columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: no letter in them, or two codewords equally near."""
-    found = docs.withColumn("_p", language_id.identify(F.col("text"), language_id.train(docs)))
-    return found.where((F.col("_p.lang") != "und") & ~(F.col("_p.ambiguous") & (F.col("_p.score") < SURE))).drop("_p")
+    p = _own(docs, "found")
+    found = docs.withColumn(p, language_id.identify(F.col("text"), language_id.train(docs)))
+    return found.where((F.col(f"{p}.lang") != "und") & ~(F.col(f"{p}.ambiguous") & (F.col(f"{p}.score") < SURE))).select(docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,53 +56,34 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Only ids and digests of the rows that go, or that repeat a kept row, meet the documents, so whole texts need not move again.
     """
-    keys = ["_exact_id", "_exact_none", "_exact_sha"]
-
-    def keyed(df: DataFrame, sha) -> DataFrame:
-        return df.withColumns({keys[0]: F.coalesce("doc_id", F.lit(-1)), keys[1]: F.col("doc_id").isNull(), keys[2]: F.unhex(sha)})
-
-    told = keyed(exact_dedup.exact_dedup(docs), F.col("text_sha256"))
-    odd = stable(told.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c")).where("not kept or c > 1"))
-    named = keyed(docs, F.sha2(exact_dedup.normal(F.col("text")), 256))
-    kept = named.join(odd.select(keys), keys, "left_anti")
-    repeated = odd.where("kept").select(keys)
-    if not repeated.isEmpty():
-        kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
-    return kept.select(docs.columns)
+    d = exact_dedup.exact_dedup(docs)
+    id_, none, sha = _keys(F.col("doc_id"), F.unhex("text_sha256"))
+    told = d.select(id_.alias("id"), none.alias("none"), sha.alias("sha"), "kept").groupBy("id", "none", "sha").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c"))
+    return _without(docs, F.unhex(F.sha2(exact_dedup.normal(F.col("text")), 256)), stable(told.where("not kept or c > 1")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at a similarity of 0.8 the row with the smallest doc_id stays, null ids last, once.
-
-    Rows are told apart by doc_id and text, so texts that share a doc_id, or have none, are dropped or kept each for itself.
-    """
-    keys = ["_near_id", "_near_none", "_near_sha"]
-    named = docs.withColumns({keys[0]: F.coalesce("doc_id", F.lit(-1)), keys[1]: F.col("doc_id").isNull(), keys[2]: F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))})
-    # the operator's ids are longs: a hash of the key stands for it there, the key itself decides what goes
-    rows = named.select(F.xxhash64(*keys).alias("_row"), *keys, "text")
-    parts = stable(ngram_join.jaccard_components(rows, n=5, num=4, den=5, id_col="_row").where("n_shingles > 0"))
-    linked = parts.groupBy("component_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("component_id")
-    met = stable(parts.join(linked, "component_id", "left_semi").select(F.col("doc_id").alias("_row"), "component_id").distinct().join(rows.drop("text"), "_row"))
-    order = F.struct("_near_none", "_near_id", "_near_sha")
-    first = stable(met.groupBy("component_id").agg(F.min(order).alias("first")))
+    """Of documents linked by five-word shingles at a similarity of 0.8 the row with the smallest doc_id stays, null ids last, once."""
+    parts = ngram_join.jaccard_components(docs, n=5, num=4, den=5).where("root is not null")
+    id_, none, sha = _keys(F.col("doc_id"), F.col("text_sha256"))
+    parts = stable(parts.select(id_.alias("id"), none.alias("none"), sha.alias("sha"), "root"))
+    order = F.struct("none", "id", "sha")
+    first = stable(parts.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     # a table, so that its size is known when the join is planned: Spark broadcasts it below its threshold, else both sides move
-    told = stable(met.join(first, "component_id").select(*keys, (order == F.col("first")).alias("kept")).groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c")).where("not kept or c > 1"))
-    kept = named.join(told.select(keys), keys, "left_anti")
-    repeated = told.where("kept").select(keys)
-    if not repeated.isEmpty():
-        kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
-    return kept.select(docs.columns)
+    told = parts.join(first, "root").select("id", "none", "sha", (order == F.col("first")).alias("kept")).groupBy("id", "none", "sha").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c"))
+    return _without(docs, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), stable(told.where("not kept or c > 1")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the one at a source's cut counts as taken whole."""
     taken = mixing.mix(docs, keep=tuple(docs.columns)).where("taken > 0")
     times = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    return taken.withColumn("_epoch", F.explode(times)).select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+    return taken.select(F.explode(times), *[F.col(f"keep_{c}") for c in docs.columns]).select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digest(bpe.encode(docs, bpe.default_ranks(), with_bytes=True))
+    ranks = bpe.default_ranks()
+    return bpe.digest(bpe.decode(bpe.encode(docs, ranks), ranks))
 
 
 STAGES = [

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import stable, table
 from marlstone.llm.graph import components
 from marlstone.llm.packing import chunk_count, chunked, docs_of, frequencies, levels_of, print_bits, squeeze, unsqueeze
-from marlstone.llm.shingles import exact_set, mix, shingle_sets, words
+from marlstone.llm.shingles import distinct, exact_set, mix, shingle_sets, words
 
 #: How many of a posting's preceding shingles it carries. A pair that meets in one of them is left to that earlier meeting;
 #: the first common shingle has no common one before it, so every pair is formed there at least, and a few more than once.
@@ -53,8 +53,8 @@ def _fingerprint(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def _frequencies(d: DataFrame, n: int, bits: int, chunks: int) -> DataFrame:
     def prints(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        distinct = {s.tobytes(): s for s in shingle_sets(list(docs_of(pdf)["text"]), n)}  # copies in one chunk count once
-        fps = [np.unique(_fingerprint(s, bits)) for s in distinct.values()]
+        once = {s.tobytes(): s for s in shingle_sets(list(docs_of(pdf)["text"]), n)}  # copies in one chunk count once
+        fps = [distinct(_fingerprint(s, bits), sort=False) for s in once.values()]
         return np.unique(np.concatenate(fps), return_counts=True) if fps else (np.zeros(0, np.uint64), np.zeros(0, int))
 
     return frequencies(d, prints, bits, chunks)
@@ -72,7 +72,7 @@ def _sets(d: DataFrame, freq: DataFrame, n: int, bits: int, num: int, den: int)
         texts = list(docs["text"])
         sets = shingle_sets(texts, n)
         fps = [_fingerprint(s, bits) for s in sets]
-        fp = np.unique(np.concatenate(fps)) if fps else np.zeros(0, np.uint64)
+        fp = distinct(np.concatenate(fps)) if fps else np.zeros(0, np.uint64)
         levels = levels_of(freq)
         rows = []
         for doc_id, text, s, f in zip(docs["doc_id"], texts, sets, fps):

@@ -40,16 +40,27 @@ _TABLE = _coded(np.tile(np.arange(256), _PLACES), np.repeat(np.arange(_PLACES),
 def piece_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Fingerprints of the pieces data[start:end], which must not overlap: the sum of a random value for each (byte, place in
     the piece), mixed. Unlike a polynomial it has no texts that clash by their structure."""
-    at = np.zeros(len(data), np.int64)
+    at = np.zeros(len(data), np.int32)
     at[start] = start
-    place = np.arange(len(data)) - np.maximum.accumulate(at)
-    value = _TABLE[(np.minimum(place, _PLACES - 1) << 8) | data]
-    far = np.flatnonzero(place >= _PLACES - 1)
-    value[far] = _coded(data[far], place[far])
+    key = np.arange(len(data), dtype=np.int32)
+    key -= np.maximum.accumulate(at)
+    far = np.flatnonzero(key >= _PLACES - 1) if len(start) and (end - start).max() >= _PLACES else np.zeros(0, np.int64)
+    place = key[far]
+    np.minimum(key, _PLACES - 1, out=key)
+    key <<= 8
+    key |= data
+    value = _TABLE[key]
+    value[far] = _coded(data[far], place)
     run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
     return mix(run[end] - run[start] + (end - start).astype(np.uint64))
 
 
+def distinct(values: np.ndarray, sort: bool = True) -> np.ndarray:
+    """Sorted distinct values."""
+    v = np.sort(values) if sort else values
+    return v[np.concatenate(([True], v[1:] != v[:-1]))] if len(v) else v
+
+
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -109,7 +120,7 @@ def shingle_sets(texts: list[str], n: int, most: int = 1 << 19) -> list[np.ndarr
         for k in range(j - i):
             a, b = at[k], at[k + 1]
             if b - a >= n:
-                out.append(np.unique(keys[a : b - n + 1]))
+                out.append(distinct(keys[a : b - n + 1]))
             elif b > a:
                 x = np.zeros(1, np.uint64)
                 for y in h[a:b]:

@@ -36,7 +36,7 @@ SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Documents of a chunk: more of them share more of their words, which travel once per chunk.
-CHUNK_ROWS = 3000
+CHUNK_ROWS = 2000
 _SLICE = 1 << 18
 
 
@@ -195,17 +195,39 @@ def _pack_words(words: list[bytes]) -> bytes:
 
 
 def _pack_ids(ids: list[bytes]) -> bytes:
-    return _pack([len(x) >> 2 for x in ids], b"".join(ids))
+    """Ids in four byte planes, which compress better than the numbers."""
+    planes = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T
+    return _pack([len(x) >> 2 for x in ids], np.ascontiguousarray(planes).tobytes())
 
 
-def _ids(packed: bytes) -> list[bytes]:
+def _flat_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     lens, body = _unpack(packed)
-    ends = (4 * np.cumsum(lens)).tolist()
+    return lens, np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(4, -1).T).view(np.int32).reshape(-1)
+
+
+def _ids(packed: bytes) -> list[bytes]:
+    lens, flat = _flat_ids(packed)
+    body, ends = flat.tobytes(), (4 * np.cumsum(lens)).tolist()
     return [body[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, ids array<int>."""
+def _parted(words: list[bytes], fp: np.ndarray, first: np.ndarray) -> list[tuple[int, list[int]]]:
+    """(range, indices of its words in order of their bytes, in which they compress best) of words sorted by fingerprint."""
+    return [(r, sorted(range(a, b), key=words.__getitem__)) for r, a, b in cuts_of(fp, first)]
+
+
+def bytes_of(ids, ranks: bytes) -> bytes:
+    """Ids joined with the table of token bytes."""
+    body, begin = token_bytes(ranks)
+    ids = np.asarray(ids, np.int64)
+    a = begin[ids]
+    n = begin[ids + 1] - a
+    ends = np.cumsum(n)
+    return body[np.repeat(a - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+
+
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
+    """One row per document: doc_id, ids array<int>; with_bytes adds what decode() would, in the task that has the ids."""
     chunks = chunk_count(docs.select(F.lit(1)).count(), CHUNK_ROWS)
     blocks, subs = grid(chunks)
     first = borders(0, 1 << 64, blocks)
@@ -213,20 +235,20 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
 
     def send(key, pdf):
         words, fp, _, _ = split_words(list(docs_of(pdf)["text"]))
-        rows = [(key[0] % blocks, p, key[0], _pack_words(words[a:b])) for p, a, b in cuts_of(fp, first)]
+        rows = [(key[0] % blocks, p, key[0], _pack_words([words[k] for k in mine])) for p, mine in _parted(words, fp, first)]
         return pd.DataFrame(rows, columns=["block", "part", "chunk", "words"])
 
-    def united(pdf):
-        """Distinct words of a block and range, by fingerprint and bytes, and their fingerprints."""
+    def united(part, pdf):
+        """(sub-range, its words) of the distinct words of a block and range."""
         words = sorted({w for x in pdf["words"] for w in _words(x)})
         ends = np.cumsum([len(w) for w in words])
         fp = piece_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
         by = np.argsort(fp, kind="stable")
-        return [words[k] for k in by.tolist()], fp[by]
+        words = [words[k] for k in by.tolist()]
+        return [(s, [words[k] for k in mine]) for s, mine in _parted(words, fp[by], sub_borders(part, 64, blocks, subs))]
 
     def unite(key, pdf):
-        words, fp = united(pdf)
-        rows = [(*key, s, _pack_words(words[a:b])) for s, a, b in cuts_of(fp, sub_borders(key[1], 64, blocks, subs))]
+        rows = [(*key, s, _pack_words(mine)) for s, mine in united(key[1], pdf)]
         return pd.DataFrame(rows, columns=["block", "part", "sub", "words"])
 
     def answer(pdf):
@@ -242,27 +264,31 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         return pdf[["block", "part", "sub"]].assign(ids=out)
 
     def back(key, sent, found):
-        ids = dict(zip(united(sent)[0], [x for packed in found.sort_values("sub")["ids"] for x in _ids(packed)]))
+        words = [w for _, mine in united(key[1], sent) for w in mine]
+        ids = dict(zip(words, [x for packed in found.sort_values("sub")["ids"] for x in _ids(packed)]))
         return sent[["chunk", "part"]].assign(ids=[_pack_ids([ids[w] for w in _words(x)]) for x in sent["words"]])
 
     def join(key, docs, ids):
         docs = docs_of(docs)
-        _, _, flat, offs = split_words(list(docs["text"]))
-        found = [_unpack(x) for x in ids.sort_values("part")["ids"]]
-        lens = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
-        all_ids = np.frombuffer(b"".join(x[1] for x in found), np.int32)
-        begin = np.cumsum(lens) - lens
+        words, fp, flat, offs = split_words(list(docs["text"]))
+        order = np.array([k for _, mine in _parted(words, fp, first) for k in mine], np.int64)
+        found = [_flat_ids(x) for x in ids.sort_values("part")["ids"]]
+        got = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
+        all_ids = np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int32)
+        lens, begin = np.empty_like(got), np.empty_like(got)
+        lens[order], begin[order] = got, np.cumsum(got) - got
         n = lens[flat]
         ends = np.concatenate(([0], np.cumsum(n)))
         out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
         cut = ends[offs]
-        return pd.DataFrame({"doc_id": docs["doc_id"], "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
+        res = pd.DataFrame({"doc_id": docs["doc_id"], "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
+        return res.assign(bytes=[bytes_of(x, ranks) for x in res["ids"]]) if with_bytes else res
 
     sent = d.groupBy("chunk").applyInPandas(send, "block int, part int, chunk int, words binary")
     met = sent.groupBy("block", "part").applyInPandas(unite, "block int, part int, sub int, words binary")
     answers = met.groupBy("part", "sub").applyInPandas(answer, "block int, part int, sub int, ids binary")
     ids = sent.groupBy("block", "part").cogroup(answers.groupBy("block", "part")).applyInPandas(back, "chunk int, part int, ids binary")
-    return d.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>")
+    return d.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>" + ", bytes binary" * with_bytes)
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
@@ -270,15 +296,8 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     from pyspark.sql.types import BinaryType, StructField, StructType
 
     def look_up(batches):
-        body, begin = token_bytes(ranks)
         for pdf in batches:
-            out = []
-            for ids in pdf["ids"]:
-                a = begin[ids]
-                n = begin[np.asarray(ids, np.int64) + 1] - a
-                ends = np.cumsum(n)
-                out.append(body[np.repeat(a - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes())
-            yield pdf.assign(bytes=out)
+            yield pdf.assign(bytes=[bytes_of(x, ranks) for x in pdf["ids"]])
 
     return encoded.mapInPandas(look_up, StructType([*encoded.schema.fields, StructField("bytes", BinaryType())]))
 
@@ -296,4 +315,4 @@ def default_ranks() -> bytes:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = default_ranks()
-    return digest(decode(encode(table(spark, sf_dir, "documents"), ranks), ranks))
+    return digest(encode(table(spark, sf_dir, "documents"), ranks, with_bytes=True))

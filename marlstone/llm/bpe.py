@@ -1,13 +1,11 @@
 """Byte-level BPE encoding and decoding over a global table of distinct words.
 
-1. A chunk is a run of documents of one input partition, up to CHUNK_ROWS of them or CHUNK_CHARS characters. It splits its
-   whole texts into pre-tokens, writes their positions as indices of its distinct words, and sends each distinct
-   word, packed, towards a hash range of words. Texts themselves never move. Chunks meet in blocks first, which unite their
-   words, and blocks meet in the ranges (packing.grid), so a word that every chunk has reaches no task more often than about
-   sqrt(chunks) times. Positions and words are a table in the shared folder, so lost executors split nothing twice.
+1. Documents are dealt in chunks; each chunk splits its whole texts into pre-tokens with positions and sends each
+   distinct one, packed, towards a hash range of words. Chunks meet in blocks first, which unite their words, and blocks
+   meet in the ranges (packing.grid), so a word that every chunk has reaches no task more often than about sqrt(chunks) times.
 2. Each range encodes each distinct word once, by merging the pair of least rank until none is left; ids go back the
    same way, to the blocks and to the chunks, in the order sent.
-3. The chunk's positions meet those ids, and each document's ids are reassembled by position.
+3. The chunk's texts meet those ids, and each document's ids are reassembled by position.
 Decoding joins ids with the table of token bytes, whose size is the vocabulary's.
 
 Null and empty texts give no ids. Repeated rows and null doc_ids are rows of their own. An empty table gives no
@@ -29,16 +27,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import stable, table
-from marlstone.llm.packing import borders, chunk_count, cuts_of, grid, squeeze, sub_borders, unsqueeze
+from marlstone.llm.common import table
+from marlstone.llm.packing import borders, chunk_count, chunked, cuts_of, docs_of, grid, squeeze, sub_borders, unsqueeze
 from marlstone.llm.shingles import piece_hashes
 
 #: What may follow an apostrophe in a contraction.
 SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
-#: Documents and characters of a chunk: more of them share more of their words, which travel once per chunk.
-CHUNK_ROWS, CHUNK_CHARS = 2000, 1 << 23
+#: Documents of a chunk: more of them share more of their words, which travel once per chunk.
+CHUNK_ROWS = 2000
 _SLICE = 1 << 18
 
 
@@ -119,7 +117,9 @@ def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray,
     fp = np.concatenate(prints)
     u, first, index = np.unique(fp, return_index=True, return_inverse=True)
     words = [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist())]
-    if b"".join([words[x] for x in index.tolist()]) != data:  # two words share a fingerprint
+    raw, size = np.frombuffer(data, np.uint8), end - begin
+    same = (size == size[first][index]).all() and (raw[np.repeat(begin[first][index] - begin, size) + np.arange(base)] == raw).all()
+    if not same:  # two words share a fingerprint
         every = [(int(h), data[x:y]) for h, x, y in zip(fp, begin.tolist(), end.tolist())]
         place = {w: k for k, w in enumerate(sorted(set(every)))}
         words, u = [w for _, w in place], np.array([h for h, _ in place], np.uint64)
@@ -196,22 +196,15 @@ def _pack_words(words: list[bytes]) -> bytes:
     return _pack([len(w) for w in words], b"".join(words))
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^32 as four byte planes, which compress better than the numbers."""
-    return np.ascontiguousarray(np.asarray(numbers, np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.int32).reshape(-1)
-
-
 def _pack_ids(ids: list[bytes]) -> bytes:
-    return _pack([len(x) >> 2 for x in ids], _planes(np.frombuffer(b"".join(ids), np.int32)))
+    """Ids in four byte planes, which compress better than the numbers."""
+    planes = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T
+    return _pack([len(x) >> 2 for x in ids], np.ascontiguousarray(planes).tobytes())
 
 
 def _flat_ids(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     lens, body = _unpack(packed)
-    return lens, _numbers(body)
+    return lens, np.ascontiguousarray(np.frombuffer(body, np.uint8).reshape(4, -1).T).view(np.int32).reshape(-1)
 
 
 def _ids(packed: bytes) -> list[bytes]:
@@ -237,39 +230,19 @@ def bytes_of(ids, ranks: bytes) -> bytes:
 
 def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
     """One row per document: doc_id, ids array<int>; with_bytes adds what decode() would, in the task that has the ids."""
-    blocks, subs = grid(chunk_count(docs.select(F.lit(1)).count(), CHUNK_ROWS))
+    chunks = chunk_count(docs.select(F.lit(1)).count(), CHUNK_ROWS)
+    blocks, subs = grid(chunks)
     first = borders(0, 1 << 64, blocks)
-    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNull().alias("none"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-
-    def rows_of(chunk: int, ids: list[int], none: list[bool], texts: list[str]) -> pd.DataFrame:
-        words, fp, flat, offs = split_words(texts)
-        # indices of words in the order in which their ids come back
-        parts = _parted(words, fp, first)
-        place = np.empty(len(words), np.int64)
-        place[[k for _, mine in parts for k in mine]] = np.arange(len(words))
-        body = np.array(ids, np.int64).tobytes() + np.array(none, np.int8).tobytes() + _planes(place[flat])
-        block = (chunk ^ chunk >> 24) % blocks
-        rows = [(chunk, block, -1, _pack(np.diff(offs), body))]
-        rows += [(chunk, block, p, _pack_words([words[k] for k in mine])) for p, mine in parts]
-        return pd.DataFrame(rows, columns=["chunk", "block", "part", "data"])
-
-    def split(batches):
-        from pyspark import TaskContext
-
-        chunk, held, size = TaskContext.get().partitionId() << 24, [], 0
-        for pdf in batches:
-            for row in zip(pdf["id"].tolist(), pdf["none"].tolist(), pdf["text"].tolist()):
-                held.append(row)
-                size += len(row[2])
-                if len(held) >= CHUNK_ROWS or size >= CHUNK_CHARS:
-                    yield rows_of(chunk, *map(list, zip(*held)))
-                    chunk, held, size = chunk + 1, [], 0
-        if held:
-            yield rows_of(chunk, *map(list, zip(*held)))
+    d = chunked(docs, chunks, id_col, text_col)
+
+    def send(key, pdf):
+        words, fp, _, _ = split_words(list(docs_of(pdf)["text"]))
+        rows = [(key[0] % blocks, p, key[0], _pack_words([words[k] for k in mine])) for p, mine in _parted(words, fp, first)]
+        return pd.DataFrame(rows, columns=["block", "part", "chunk", "words"])
 
     def united(part, pdf):
         """(sub-range, its words) of the distinct words of a block and range."""
-        words = sorted({w for x in pdf["data"] for w in _words(x)})
+        words = sorted({w for x in pdf["words"] for w in _words(x)})
         ends = np.cumsum([len(w) for w in words])
         fp = piece_hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
         by = np.argsort(fp, kind="stable")
@@ -295,30 +268,29 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
     def back(key, sent, found):
         words = [w for _, mine in united(key[1], sent) for w in mine]
         ids = dict(zip(words, [x for packed in found.sort_values("sub")["ids"] for x in _ids(packed)]))
-        return sent[["chunk", "part"]].assign(ids=[_pack_ids([ids[w] for w in _words(x)]) for x in sent["data"]])
+        return sent[["chunk", "part"]].assign(ids=[_pack_ids([ids[w] for w in _words(x)]) for x in sent["words"]])
 
     def join(key, docs, ids):
-        counts, body = _unpack(docs["data"].iat[0])
-        rows = len(counts)
-        doc_id = pd.array(np.frombuffer(body, np.int64, rows), "Int64")
-        doc_id[np.frombuffer(body, np.int8, rows, 8 * rows) > 0] = pd.NA
-        flat = _numbers(body[9 * rows :])
+        docs = docs_of(docs)
+        words, fp, flat, offs = split_words(list(docs["text"]))
+        order = np.array([k for _, mine in _parted(words, fp, first) for k in mine], np.int64)
         found = [_flat_ids(x) for x in ids.sort_values("part")["ids"]]
-        lens = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
+        got = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
         all_ids = np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int32)
+        lens, begin = np.empty_like(got), np.empty_like(got)
+        lens[order], begin[order] = got, np.cumsum(got) - got
         n = lens[flat]
         ends = np.concatenate(([0], np.cumsum(n)))
-        out = all_ids[np.repeat((np.cumsum(lens) - lens)[flat] - ends[:-1], n) + np.arange(ends[-1])]
-        cut = ends[np.concatenate(([0], np.cumsum(counts)))]
-        res = pd.DataFrame({"doc_id": doc_id, "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
+        out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
+        cut = ends[offs]
+        res = pd.DataFrame({"doc_id": docs["doc_id"], "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
         return res.assign(bytes=[bytes_of(x, ranks) for x in res["ids"]]) if with_bytes else res
 
-    pieces = stable(d.mapInPandas(split, "chunk long, block int, part int, data binary"))
-    sent = pieces.where("part >= 0")
+    sent = d.groupBy("chunk").applyInPandas(send, "block int, part int, chunk int, words binary")
     met = sent.groupBy("block", "part").applyInPandas(unite, "block int, part int, sub int, words binary")
     answers = met.groupBy("part", "sub").applyInPandas(answer, "block int, part int, sub int, ids binary")
-    ids = sent.groupBy("block", "part").cogroup(answers.groupBy("block", "part")).applyInPandas(back, "chunk long, part int, ids binary")
-    return pieces.where("part < 0").groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>" + ", bytes binary" * with_bytes)
+    ids = sent.groupBy("block", "part").cogroup(answers.groupBy("block", "part")).applyInPandas(back, "chunk int, part int, ids binary")
+    return d.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInPandas(join, "doc_id long, ids array<int>" + ", bytes binary" * with_bytes)
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:

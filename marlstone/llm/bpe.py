@@ -118,7 +118,8 @@ def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray,
     u, first, index = np.unique(fp, return_index=True, return_inverse=True)
     words = [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist())]
     raw, size = np.frombuffer(data, np.uint8), end - begin
-    same = (size == size[first][index]).all() and (raw[np.repeat(begin[first][index] - begin, size) + np.arange(base)] == raw).all()
+    kind = np.int32 if base < 1 << 31 else np.int64
+    same = (size == size[first][index]).all() and (raw[np.repeat((begin[first][index] - begin).astype(kind), size) + np.arange(base, dtype=kind)] == raw).all()
     if not same:  # two words share a fingerprint
         every = [(int(h), data[x:y]) for h, x, y in zip(fp, begin.tolist(), end.tolist())]
         place = {w: k for k, w in enumerate(sorted(set(every)))}

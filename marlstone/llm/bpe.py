@@ -36,7 +36,7 @@ SHORT = ("s", "t", "re", "ve", "m", "ll", "d")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: Documents of a chunk: more of them share more of their words, which travel once per chunk.
-CHUNK_ROWS = 2000
+CHUNK_ROWS = 1500
 _SLICE = 1 << 18
 
 
@@ -86,6 +86,21 @@ def boundaries(codes: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _same(raw: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> bool:
+    """Whether each piece has the bytes of the piece `first` names for it; a bounded number of bytes at a time."""
+    size, shift = end - begin, begin[first] - begin
+    if (size != size[first]).any():
+        return False
+    cuts = np.append(np.searchsorted(begin, np.arange(0, len(raw), _SLICE)), len(begin))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if j > i:
+            at = np.repeat(shift[i:j], size[i:j])
+            at += np.arange(begin[i], end[j - 1])
+            if (raw[at] != raw[begin[i] : end[j - 1]]).any():
+                return False
+    return True
+
+
 def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """(distinct pre-tokens by fingerprint and bytes, their fingerprints, index of each pre-token's word in order of
     position, offsets of the texts' pre-tokens)."""
@@ -117,10 +132,7 @@ def split_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray,
     fp = np.concatenate(prints)
     u, first, index = np.unique(fp, return_index=True, return_inverse=True)
     words = [data[x:y] for x, y in zip(begin[first].tolist(), end[first].tolist())]
-    raw, size = np.frombuffer(data, np.uint8), end - begin
-    kind = np.int32 if base < 1 << 31 else np.int64
-    same = (size == size[first][index]).all() and (raw[np.repeat((begin[first][index] - begin).astype(kind), size) + np.arange(base, dtype=kind)] == raw).all()
-    if not same:  # two words share a fingerprint
+    if not _same(np.frombuffer(data, np.uint8), begin, end, first[index]):  # two words share a fingerprint
         every = [(int(h), data[x:y]) for h, x, y in zip(fp, begin.tolist(), end.tolist())]
         place = {w: k for k, w in enumerate(sorted(set(every)))}
         words, u = [w for _, w in place], np.array([h for h, _ in place], np.uint64)
@@ -229,9 +241,12 @@ def bytes_of(ids, ranks: bytes) -> bytes:
     return body[np.repeat(a - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
-def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False) -> DataFrame:
-    """One row per document: doc_id, ids array<int>; with_bytes adds what decode() would, in the task that has the ids."""
-    chunks = chunk_count(docs.select(F.lit(1)).count(), CHUNK_ROWS)
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text", with_bytes: bool = False, chunk_rows: int = 0) -> DataFrame:
+    """One row per document: doc_id, ids array<int>; with_bytes adds what decode() would, in the task that has the ids.
+
+    A smaller chunk_rows (default CHUNK_ROWS) takes less memory and sends words more often.
+    """
+    chunks = chunk_count(docs.select(F.lit(1)).count(), chunk_rows or CHUNK_ROWS)
     blocks, subs = grid(chunks)
     first = borders(0, 1 << 64, blocks)
     d = chunked(docs, chunks, id_col, text_col)
@@ -282,7 +297,10 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
         lens[order], begin[order] = got, np.cumsum(got) - got
         n = lens[flat]
         ends = np.concatenate(([0], np.cumsum(n)))
-        out = all_ids[np.repeat(begin[flat] - ends[:-1], n) + np.arange(ends[-1])]
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        at = np.repeat((begin[flat] - ends[:-1]).astype(kind), n)
+        at += np.arange(ends[-1], dtype=kind)
+        out = all_ids[at]
         cut = ends[offs]
         res = pd.DataFrame({"doc_id": docs["doc_id"], "ids": [out[a:b] for a, b in zip(cut[:-1], cut[1:])]})
         return res.assign(bytes=[bytes_of(x, ranks) for x in res["ids"]]) if with_bytes else res

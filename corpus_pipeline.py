@@ -17,6 +17,8 @@ from marlstone.llm.common import stable, table
 
 #: Below this score an ambiguous language answer rejects the document.
 SURE = 0.5
+#: Documents that one task of the last stage holds at a time: executors still hold what the stages before left on their heaps.
+CHUNK_ROWS = 750
 
 
 def _own(docs: DataFrame, name: str) -> str:
@@ -82,7 +84,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digest(bpe.encode(docs, bpe.default_ranks(), with_bytes=True))
+    return bpe.digest(bpe.encode(docs, bpe.default_ranks(), with_bytes=True, chunk_rows=CHUNK_ROWS))
 
 
 STAGES = [

@@ -1,8 +1,7 @@
 """N-gram Jaccard join: a grouped prefix join, rarest shingles first, that returns link components.
 
-1. Documents are dealt in chunks. Each chunk sends its distinct shingle fingerprints, packed, through a two-level
-   exchange that counts them over all chunks and sends one byte of frequency per fingerprint back. Frequencies only
-   set the global order (rarest first), so their fingerprints may be short; sets are formed by 64-bit fingerprints.
+1. Documents are dealt in chunks. Each chunk sends its distinct shingle fingerprints, packed, to hash ranges, which count
+   them over all chunks and send one byte of frequency per fingerprint back. Frequencies only set the global order (rarest first), so their fingerprints may be short; sets are formed by 64-bit fingerprints.
 2. A vertex is a distinct sequence of words, named by its 128-bit digest. Its prefix under that order holds a shingle
    in common with any partner at the threshold. Shingles that only one chunk has lead nowhere and only count as places.
 3. Vertices with the same size, prefix shingles and places form one group. Cheap candidates come first: each member
@@ -41,6 +40,8 @@ from marlstone.llm.shingles import distinct, exact_set, mix, shingle_sets, words
 WINDOW = 12
 #: Rows before a vertex in a sorted order that are looked at, and members of a cell in a block.
 AHEAD, BLOCK = 8, 256
+#: Documents of a chunk.
+CHUNK_ROWS = 2000
 ORDERS = ((0, 1, 2), (1, 2, 0), (2, 0, 1))
 _SEEDS = np.array([0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -222,7 +223,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     row's text, by which rows that share a doc_id or have none can be told apart.
     """
     total = docs.select(F.lit(1)).count()
-    chunks = chunk_count(total)
+    chunks = chunk_count(total, CHUNK_ROWS)
     bits = print_bits(total)
     d = chunked(docs, chunks, id_col, text_col)
     sets = stable(_sets(d, _frequencies(d, n, bits, chunks), n, bits, num, den))

@@ -105,52 +105,32 @@ def cuts_of(values: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]
     return [(r, a, b) for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())) if b > a]
 
 
-def _united(pdf: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(fingerprint lists, their sorted distinct values, the total of each)."""
-    lists = [unpack_sorted(x) for x in pdf["fps"]]
-    own = np.concatenate([np.frombuffer(unsqueeze(x), np.int32) for x in pdf["own"]])
-    all_, where = np.unique(np.concatenate(lists), return_inverse=True)
-    return lists, all_, np.minimum(np.bincount(where, weights=own, minlength=len(all_)), 1 << 30).astype(np.int32)
-
-
-def _packed(fps: np.ndarray, own: np.ndarray) -> tuple[bytes, bytes]:
-    return pack_sorted(fps), squeeze(own.astype(np.int32).tobytes(), 1)
-
-
 def frequencies(groups: DataFrame, prints: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]], bits: int, chunks: int) -> DataFrame:
     """(chunk, part, counts): a byte of total frequency for each fingerprint a chunk has, in order of range and fingerprint.
 
-    prints gives a chunk's sorted distinct fingerprints (below 2^bits) and how often it has each. The exchange has two
-    levels (see grid); answers go back the same way. Frequencies over 127 are logarithmic.
+    prints gives a chunk's sorted distinct fingerprints (below 2^bits) and how often it has each. There are half as many
+    ranges as chunks, so the exchange has at most chunks * chunks / 2 messages; most fingerprints are rare, so meeting in
+    blocks first, as words do, would send nearly all of them twice. A hot one costs its range an entry per chunk.
+    Frequencies over 127 are logarithmic.
     """
-    blocks, subs = grid(chunks)
-    first = borders(0, 1 << bits, blocks)
+    first = borders(0, 1 << bits, max(1, math.ceil(chunks / 2)))
 
     def send(key, pdf):
         fp, c = prints(pdf)
-        rows = [(key[0] % blocks, r, key[0], *_packed(fp[a:b], c[a:b])) for r, a, b in cuts_of(fp, first)]
-        return pd.DataFrame(rows, columns=["block", "part", "chunk", "fps", "own"])
-
-    def unite(key, pdf):
-        block, part = key
-        _, all_, total = _united(pdf)
-        rows = [(block, part, s, *_packed(all_[a:b], total[a:b])) for s, a, b in cuts_of(all_, sub_borders(part, bits, blocks, subs))]
-        return pd.DataFrame(rows, columns=["block", "part", "sub", "fps", "own"])
+        rows = [(key[0], r, pack_sorted(fp[a:b]), squeeze(np.minimum(c[a:b], 255).astype(np.uint8).tobytes(), 1)) for r, a, b in cuts_of(fp, first)]
+        return pd.DataFrame(rows, columns=["chunk", "part", "fps", "own"])
 
     def count(pdf):
-        lists, all_, total = _united(pdf)
-        level = np.where(total < 128, total, 128 + np.log2(np.maximum(total, 1)).astype(np.int64)).astype(np.uint8)
-        return pdf[["block", "part", "sub"]].assign(counts=[squeeze(level[np.searchsorted(all_, x)].tobytes(), 1) for x in lists])
-
-    def back(key, sent, found):
-        lists, all_, _ = _united(sent)
-        level = np.concatenate([np.frombuffer(unsqueeze(x), np.uint8) for x in found.sort_values("sub")["counts"]])
-        return sent[["chunk", "part"]].assign(counts=[squeeze(level[np.searchsorted(all_, x)].tobytes(), 1) for x in lists])
-
-    sent = groups.groupBy("chunk").applyInPandas(send, "block int, part int, chunk int, fps binary, own binary")
-    met = sent.groupBy("block", "part").applyInPandas(unite, "block int, part int, sub int, fps binary, own binary")
-    counted = met.groupBy("part", "sub").applyInPandas(count, "block int, part int, sub int, counts binary")
-    return sent.groupBy("block", "part").cogroup(counted.groupBy("block", "part")).applyInPandas(back, "chunk int, part int, counts binary")
+        lists = [unpack_sorted(x) for x in pdf["fps"]]
+        own = [np.frombuffer(unsqueeze(x), np.uint8) for x in pdf["own"]]
+        all_, where = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.bincount(where, weights=np.concatenate(own), minlength=len(all_)).astype(np.int64)
+        level = np.where(total < 128, total, 128 + np.log2(np.maximum(total, 1)).astype(np.int64)).astype(np.uint8)[where]
+        ends = np.cumsum([len(x) for x in lists])
+        return pdf[["chunk", "part"]].assign(counts=[squeeze(x.tobytes(), 1) for x in np.split(level, ends[:-1])])
+
+    sent = groups.groupBy("chunk").applyInPandas(send, "chunk int, part int, fps binary, own binary")
+    return sent.groupBy("part").applyInPandas(count, "chunk int, part int, counts binary")
 
 
 def levels_of(freq: pd.DataFrame) -> np.ndarray:

@@ -118,7 +118,7 @@ def _joined(spark, rows, n, num, den):
 @pytest.mark.parametrize("n,num,den", [(3, 9, 10), (5, 4, 5)])
 def test_ngram_join(spark, odd, monkeypatch, n, num, den):
     """Several chunks, null ids, repeated rows, copies and links of many strengths."""
-    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows: 7)
+    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows, per: 7)
     rng = random.Random(n)
     base = [str(rng.randrange(999)) for _ in range(120)]
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
@@ -145,7 +145,7 @@ def test_ngram_join_null_id_links(spark):
 
 def test_ngram_join_family(spark, monkeypatch):
     """500 near copies, each with a prefix of its own, some linked and some not."""
-    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows: 5)
+    monkeypatch.setattr(ngram_join, "chunk_count", lambda rows, per: 5)
     rng = random.Random(8)
     base = [f"c{k}" for k in range(150)]
     rows = []
@@ -176,7 +176,7 @@ def test_word_identity(spark):
 
 
 def test_frequencies(spark):
-    """The two-level exchange counts as one table would."""
+    """The exchange counts as one table would."""
     from marlstone.llm import packing
 
     rng = np.random.default_rng(3)

@@ -78,3 +78,35 @@ def interpolate(x: Column, x0: float, x1: float, y0: float, y1: float) -> Column
     """Linear between the ends, clamped outside."""
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - x0) / (x1 - x0)))
     return y0 + t * (y1 - y0)
+
+
+def short_side(w: Column, h: Column, width: float, height: float, size: float) -> Column:
+    """Shorter side of a box after the image is resized to a square of `size`."""
+    return F.least(w * size / width, h * size / height)
+
+
+def bucket_value(x: Column, buckets: tuple[tuple[float, float], ...]) -> Column:
+    """The value of the first bucket whose threshold exceeds x; null beyond the last."""
+    out = F.lit(None)
+    for most, value in reversed(buckets):
+        out = F.when(x < most, F.lit(value)).otherwise(out)
+    return out
+
+
+def inverse_sigmoid(x: Column, eps: float = 1e-5) -> Column:
+    x = F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    return F.log(F.greatest(x, F.lit(eps)) / F.greatest(1 - x, F.lit(eps)))
+
+
+def pack_colour(r: Column, g: Column, b: Column) -> Column:
+    return F.shiftleft(r.cast("long"), 16).bitwiseOR(F.shiftleft(g.cast("long"), 8)).bitwiseOR(b.cast("long"))
+
+
+def unpack_colour(c: Column) -> tuple[Column, Column, Column]:
+    return F.shiftright(c, 16).bitwiseAND(255), F.shiftright(c, 8).bitwiseAND(255), c.bitwiseAND(255)
+
+
+def tile_starts(size: Column, tile: int, overlap: float) -> Column:
+    """Where tiles begin along a side: steps of the tile less its overlap, pulled back to end with the image (so the last ones may repeat)."""
+    step = max(1, int((1 - overlap) * tile))
+    return F.transform(F.sequence(F.lit(0).cast("long"), (size - 1).cast("long"), F.lit(step).cast("long")), lambda s: F.least(s + tile, size) - tile)

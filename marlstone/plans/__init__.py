@@ -1 +1,3 @@
-"""See the modules of marlstone.plans."""
+"""The query catalogue; its modules register their queries in catalog.QUERIES and their SQL in catalog.ORACLES."""
+
+from marlstone.plans import catalog, detection  # noqa: F401

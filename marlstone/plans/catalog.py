@@ -138,45 +138,6 @@ def eda_bad_sample(spark, d):
     return b.withColumn("r", F.row_number().over(w)).where("r <= 24").select("split", "image_id", "bad_score", "primary_issue")
 
 
-_AP = T + """, r AS (SELECT class, hit, row_number() OVER (PARTITION BY class ORDER BY score DESC, image_id, line_no, part, supp, hit) AS k, count(*) OVER (PARTITION BY class) AS gt FROM boxes),
-c AS (SELECT *, sum(hit::INT) OVER (PARTITION BY class ORDER BY k) AS tp FROM r),
-m AS (SELECT class, gt, k, tp, tp / gt AS recall, max(tp / k) OVER (PARTITION BY class ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS envelope,
-  lag(tp / gt, 1, 0) OVER (PARTITION BY class ORDER BY k) AS before FROM c),
-ap AS (SELECT class, max(gt) AS gt, count(*) AS pred, max(tp)::BIGINT AS tp, sum((recall - before) * envelope) AS ap FROM m GROUP BY class)
-"""
-
-
-def _ap(spark, d) -> DataFrame:
-    """All-point AP per class; predictions are lines, hits are those not returned, ground truth is as many as lines."""
-    w = Window.partitionBy("class").orderBy("k")
-    order = Window.partitionBy("class").orderBy(F.desc("score"), "image_id", *_file_order(), "hit")
-    b = boxes(spark, d).select("class", "hit", F.row_number().over(order).alias("k"), F.count(F.lit(1)).over(Window.partitionBy("class")).alias("gt"))
-    c = b.withColumn("tp", F.sum(F.col("hit").cast("int")).over(w)).withColumn("recall", F.col("tp") / F.col("gt"))
-    m = c.withColumn("envelope", F.max(F.col("tp") / F.col("k")).over(w.rowsBetween(0, Window.unboundedFollowing))).withColumn("before", F.lag("recall", 1, 0.0).over(w))
-    return m.groupBy("class").agg(F.max("gt").alias("gt"), F.count(F.lit(1)).alias("pred"), F.max("tp").alias("tp"), F.sum((F.col("recall") - F.col("before")) * F.col("envelope")).alias("ap"))
-
-
-@_query(_AP + "SELECT * FROM ap")
-def average_precision(spark, d):
-    return _ap(spark, d)
-
-
-@_query(_AP + """, q AS (SELECT class, gt - 2400 AS gt, pred, tp, ap - 0.6 AS ap, tp / pred AS precision, tp / gt AS recall FROM ap), f AS (SELECT *, 2 * precision * recall / (precision + recall) - 0.4 AS f1, (pred - tp) / pred AS fp_rate FROM q),
-k AS (SELECT *, CASE WHEN gt <= 0 THEN 1.0::DOUBLE WHEN gt < 5 THEN 0.6::DOUBLE + 0.4::DOUBLE * (1 - gt / 5) ELSE CASE WHEN gt < 10 THEN 0.4::DOUBLE * (1 - gt / 10) ELSE 0 END + CASE WHEN ap < 0.3 THEN 0.3::DOUBLE * (1 - ap / 0.3::DOUBLE) ELSE 0 END
-  + CASE WHEN f1 < 0.4 THEN 0.2::DOUBLE * (1 - f1 / 0.4::DOUBLE) ELSE 0 END + CASE WHEN fp_rate > 0.5 THEN 0.1::DOUBLE * fp_rate ELSE 0 END END AS risk FROM f)
-SELECT class, risk, CASE WHEN risk >= 0.8 THEN 'very high' WHEN risk >= 0.6 THEN 'high' WHEN risk >= 0.3 THEN 'medium' ELSE 'low' END AS risk_level FROM k""")
-def class_quality_risk(spark, d):
-    """Piecewise risk; the generated classes are all large and good, so counts, AP and F1 are shifted down to reach every regime."""
-    a = _ap(spark, d).withColumn("precision", F.col("tp") / F.col("pred")).withColumn("recall", F.col("tp") / F.col("gt"))
-    a = a.withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")) - 0.4).withColumn("fp_rate", (F.col("pred") - F.col("tp")) / F.col("pred"))
-    a = a.withColumn("gt", F.col("gt") - 2400).withColumn("ap", F.col("ap") - 0.6)
-    term = lambda c, x: F.when(c, x).otherwise(F.lit(0.0))
-    normal = term(F.col("gt") < 10, 0.4 * (1 - F.col("gt") / 10)) + term(F.col("ap") < 0.3, 0.3 * (1 - F.col("ap") / 0.3)) + term(F.col("f1") < 0.4, 0.2 * (1 - F.col("f1") / 0.4)) + term(F.col("fp_rate") > 0.5, 0.1 * F.col("fp_rate"))
-    risk = F.when(F.col("gt") <= 0, 1.0).when(F.col("gt") < 5, 0.6 + 0.4 * (1 - F.col("gt") / 5)).otherwise(normal)
-    level = F.when(F.col("risk") >= 0.8, "very high").when(F.col("risk") >= 0.6, "high").when(F.col("risk") >= 0.3, "medium").otherwise("low")
-    return a.withColumn("risk", risk).select("class", "risk", level.alias("risk_level"))
-
-
 _IOU = """(greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)))"""
 
 
@@ -354,22 +315,16 @@ def segment_quality(spark, d):
     return j.groupBy("class").agg(F.count(F.lit(1)).alias("tp"), F.avg("iou").alias("segment_quality"))
 
 
-def _sides(spark, d) -> tuple[DataFrame, DataFrame]:
-    b = lambda name: boxes(spark, d).withColumn(name, F.xxhash64("line_no", "part", "supp", "score"))
-    return b("pred_no").where(~F.col("hit")), b("gt_no").where("hit")
-
-
-@_query()
-def greedy_match(spark, d):
-    return match.greedy_match(*_sides(spark, d), threshold=0.1)
-
-
 @_query()
 def hungarian_match(spark, d):
-    return match.hungarian_match(*_sides(spark, d), threshold=0.1)
+    from marlstone.plans import detection
+
+    return match.hungarian_match(*detection.sides(spark, d), threshold=0.1)
 
 
 @_query()
 def nms(spark, d):
-    p, _ = _sides(spark, d)
+    from marlstone.plans import detection
+
+    p, _ = detection.sides(spark, d)
     return match.suppress(p.select("image_id", "class", "score", "pred_no", "x1", "y1", "x2", "y2"), 0.3, by_class=False)

@@ -108,36 +108,6 @@ def eda_dense_images(spark, d):
     return b.withColumn("r", F.row_number().over(w)).where("r <= 10").drop("r")
 
 
-_BAD = T + """, f AS (SELECT image_id, split, count(b.image_id) AS n_lines, count(*) FILTER (x2 > 640 OR y2 > 640) AS n_anomaly, count(*) FILTER (score > 0.095) AS n_invalid
-  FROM images LEFT JOIN boxes b USING (image_id) GROUP BY ALL),
-s AS (SELECT *, CASE WHEN n_invalid > 0 THEN 200 + 100 * n_invalid ELSE 0 END + CASE WHEN n_lines = 0 THEN 180 ELSE 0 END + CASE WHEN n_anomaly > 0 THEN 80 + 20 * n_anomaly ELSE 0 END AS bad_score,
-  CASE WHEN n_invalid > 0 THEN 'invalid_label_lines' WHEN n_lines = 0 THEN 'empty_label_file' WHEN n_anomaly > 0 THEN 'coord_anomaly_lines' END AS primary_issue FROM f)
-"""
-
-
-def _bad_images(spark, d) -> DataFrame:
-    b = boxes(spark, d).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if((F.col("x2") > 640) | (F.col("y2") > 640)).alias("n_anomaly"), F.count_if(F.col("score") > 0.095).alias("n_invalid"))
-    f = images(spark, d).join(b, "image_id", "left").fillna(0, ["n_lines", "n_anomaly", "n_invalid"])
-    issues = (("invalid_label_lines", F.col("n_invalid") > 0, 200 + 100 * F.col("n_invalid")), ("empty_label_file", F.col("n_lines") == 0, F.lit(180)), ("coord_anomaly_lines", F.col("n_anomaly") > 0, 80 + 20 * F.col("n_anomaly")))
-    score = sum(F.when(c, s).otherwise(F.lit(0)) for _, c, s in issues)
-    return f.withColumn("bad_score", score.cast("long")).withColumn("primary_issue", F.coalesce(*[F.when(c, F.lit(n)) for n, c, _ in issues]))
-
-
-@_query(_BAD + "SELECT image_id, split, bad_score::BIGINT AS bad_score, primary_issue FROM s WHERE bad_score > 0")
-def eda_bad_images(spark, d):
-    return _bad_images(spark, d).where("bad_score > 0").select("image_id", "split", "bad_score", "primary_issue")
-
-
-@_query(_BAD + """, b AS (SELECT *, row_number() OVER (PARTITION BY split, primary_issue ORDER BY bad_score DESC, image_id) AS k, row_number() OVER (PARTITION BY split ORDER BY bad_score DESC, image_id) AS r FROM s WHERE bad_score > 0)
-SELECT split, image_id, bad_score::BIGINT AS bad_score, primary_issue FROM b QUALIFY row_number() OVER (PARTITION BY split ORDER BY CASE WHEN k <= 8 THEN 0 ELSE 1 END, r) <= 24""")
-def eda_bad_sample(spark, d):
-    order = [F.desc("bad_score"), "image_id"]
-    b = _bad_images(spark, d).where("bad_score > 0")
-    b = b.withColumn("k", F.row_number().over(Window.partitionBy("split", "primary_issue").orderBy(*order)))
-    w = Window.partitionBy("split").orderBy(F.when(F.col("k") <= 8, 0).otherwise(1), *order)
-    return b.withColumn("r", F.row_number().over(w)).where("r <= 24").select("split", "image_id", "bad_score", "primary_issue")
-
-
 _IOU = """(greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)))"""
 
 
@@ -195,15 +165,6 @@ def pixel_iou(spark, d):
     return s.select("class", F.col("t").alias("tp"), (F.col("p") - F.col("t")).alias("fp"), (F.col("g") - F.col("t")).alias("fn"), (F.col("t") / (F.col("p") + F.col("g") - F.col("t"))).alias("iou"))
 
 
-@_query(T + """, c AS (SELECT class, count(*) AS n FROM boxes GROUP BY class)
-SELECT t AS threshold, count(*) FILTER (n < t) AS classes_below, coalesce(sum(n) FILTER (n < t), 0)::BIGINT AS boxes_below FROM c CROSS JOIN (VALUES (2300), (2400), (2500)) v(t) GROUP BY t""")
-def long_tail_summary(spark, d):
-    c = boxes(spark, d).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
-    e = c.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in (2300, 2400, 2500)])))
-    below = F.col("n") < F.col("threshold")
-    return e.groupBy("threshold").agg(F.count_if(below).alias("classes_below"), F.coalesce(F.sum(F.when(below, F.col("n"))), F.lit(0)).alias("boxes_below"))
-
-
 @_query(T + """, c AS (SELECT image_id, class, count(*) AS n, min((line_no, part, supp)) AS f FROM boxes GROUP BY ALL)
 SELECT image_id, class AS dominant, n FROM c QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY n DESC, f) = 1""")
 def dominant_class(spark, d):

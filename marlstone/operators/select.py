@@ -19,19 +19,34 @@ def split_sizes(total: int, ratio: dict[str, float]) -> dict[str, int]:
 
 
 def largest_remainder(total: int, ratio: dict[str, float]) -> dict[str, int]:
-    """Floors, then one each by falling remainder."""
-    whole = sum(ratio.values())
+    """Floors, then one each by falling remainder, ties in the order of `ratio`.
+
+    A split with a share does not end empty while another has two: it takes one from the fullest (ties: larger share, then
+    the earlier split).
+    """
+    names, whole = list(ratio), sum(ratio.values())
     raw = {n: total * r / whole for n, r in ratio.items()}
     out = {n: int(x) for n, x in raw.items()}
-    for n in sorted(raw, key=lambda n: (out[n] - raw[n], n))[: total - sum(out.values())]:
+    by_rest = sorted(names, key=lambda n: out[n] - raw[n])
+    for n in by_rest[: total - sum(out.values())]:
         out[n] += 1
+    active = [n for n in names if ratio[n] > 0]
+    if total >= len(active):
+        for n in active:
+            if not out[n]:
+                out[min((m for m in active if out[m] > 1), key=lambda m: (-out[m], -ratio[m], names.index(m)))] -= 1
+                out[n] = 1
     return out
 
 
-def class_quota(n: int, k: int, alpha: float, cap: int) -> int:
-    if n <= 0:
-        return 0
-    return n if n < k else max(k, min(cap, k + round(alpha * math.log10(n))))
+def lightest_shard(weights: list[float], shards: int) -> list[int]:
+    """Shard of each item: the heaviest first, each to the shard with the least weight so far, lower numbers first on ties."""
+    load, out = [(0.0, s) for s in range(shards)], [0] * len(weights)
+    for i in sorted(range(len(weights)), key=lambda k: (-weights[k], k)):
+        w, s = heapq.heappop(load)
+        out[i] = s
+        heapq.heappush(load, (w + max(0.0, weights[i]), s))
+    return out
 
 
 def coverage_gain(counts: dict, have: dict, caps: dict, available: dict) -> float:

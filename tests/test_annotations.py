@@ -13,12 +13,15 @@ from marlstone.streaming import series
 
 def test_split_sizes_give_the_rest_to_one_split():
     assert select.split_sizes(8, {"train": 1, "val": 1, "test": 1}) == {"train": 2, "val": 4, "test": 2}
-    assert select.largest_remainder(8, {"train": 1, "val": 1, "test": 1}) == {"train": 3, "val": 2, "test": 3}
+    assert select.largest_remainder(8, {"train": 1, "val": 1, "test": 1}) == {"train": 3, "val": 3, "test": 2}
+    assert select.largest_remainder(4, {"train": 0.9, "val": 0.05, "test": 0.05}) == {"train": 2, "val": 1, "test": 1}
+    assert select.largest_remainder(2, {"train": 0.9, "val": 0.1, "test": 0.0}) == {"train": 1, "val": 1, "test": 0}
     assert select.split_sizes(0, {"train": 1}) == {"train": 0, "val": 0, "test": 0}
 
 
-def test_quota_rounds_half_to_even_and_keeps_rare_classes():
-    assert [select.class_quota(n, 5, 3, 20) for n in (0, 3, 10, 1000, 10**9)] == [0, 3, 8, 14, 20]
+def test_heaviest_items_go_to_the_lightest_shard():
+    assert select.lightest_shard([5, 4, 3, 3, 1], 2) == [0, 1, 1, 0, 1]
+    assert select.lightest_shard([], 3) == [] and select.lightest_shard([1, 1, 1], 3) == [0, 1, 2]
 
 
 def test_lazy_greedy_equals_plain_greedy():
@@ -85,6 +88,62 @@ def test_label_files_coco_and_paths(spark, tmp_path):
     assert p == "d/images/x/labels/t/1.txt"
 
 
+def _greedy(preds, truth, threshold):
+    free, out = list(truth), {}
+    for p in sorted(preds, key=lambda p: (-p[1], p[2])):
+        best = max(((match.iou_matrix(np.array([p[3:]]), np.array([g[2:]]))[0, 0], -k, g) for k, g in enumerate(free) if g[0] == p[0]), default=(0, 0, None))
+        out[p[2]] = best[0] > 0 and best[0] >= threshold
+        if out[p[2]]:
+            free.remove(best[2])
+    return out
+
+
+def test_matching_against_brute_force(spark):
+    """Random images: greedy matches, suppression and the number and cost of assignments."""
+    rng = np.random.default_rng(9)
+    box = lambda: [*(a := rng.integers(0, 12, 2).astype(float)), *(a + rng.integers(2, 9, 2))]
+    preds = [(int(i), rng.choice(["a", "b"]), float(rng.integers(1, 6)) / 10, k, *map(float, box())) for k, i in enumerate(rng.integers(0, 8, 60))]
+    truth = [(int(i), rng.choice(["a", "b"]), 0.0, 100 + k, *map(float, box())) for k, i in enumerate(rng.integers(0, 8, 50))]
+    p = spark.createDataFrame([(i, str(c), *r) for i, c, *r in preds], BOXES).withColumnRenamed("no", "pred_no")
+    g = spark.createDataFrame([(i, str(c), *r) for i, c, *r in truth], BOXES).withColumnRenamed("no", "gt_no")
+    want = {}
+    for i in range(8):
+        want |= _greedy([(c, s, k, *b) for j, c, s, k, *b in preds if j == i], [(c, k, *b) for j, c, s, k, *b in truth if j == i], 0.3)
+    assert {r.pred_no: r.is_tp for r in match.greedy_match(p, g, threshold=0.3).collect()} == want
+    kept = {}
+    for i, c, s, k, *b in sorted(preds, key=lambda x: (-x[2], x[3])):
+        if all(match.iou_matrix(np.array([b]), np.array([o]))[0, 0] <= 0.3 for o in kept.get(i, {}).values()):
+            kept.setdefault(i, {})[k] = b
+    assert {r.pred_no for r in match.suppress(p, 0.3, by_class=False).collect()} == {k for x in kept.values() for k in x}
+    found = {}
+    for r in match.hungarian_match(p, g, threshold=0.3).collect():
+        found.setdefault(r.image_id, []).append((r.gt_no, r.pred_no))
+    for i in range(8):
+        a, b = [x for x in preds if x[0] == i], [x for x in truth if x[0] == i]
+        iou = match.iou_matrix(np.array([x[4:] for x in a]).reshape(-1, 4), np.array([x[4:] for x in b]).reshape(-1, 4)) * 1.0
+        able = iou >= 0.3
+
+        def most(row, used):
+            if row == len(a):
+                return 0
+            return max([most(row + 1, used), *(1 + most(row + 1, used | {j}) for j in range(len(b)) if able[row, j] and j not in used)])
+
+        assert len(found.get(i, [])) == most(0, frozenset())
+
+
+def test_names(spark):
+    from marlstone.functions import names
+
+    s = spark.createDataFrame([("ＤＳ2-Straße",), ("Dataset3_ Cat 1",), (None,), ("类别12",)], "n string")
+    r = s.select(names.tail(names.fold_unicode(F.col("n"))).alias("t"), names.placeholder(names.fold_unicode(F.col("n"))).alias("p"), names.null_like(names.fold(F.col("n"))).alias("z")).collect()
+    assert [x.t for x in r] == ["strasse", "cat1", None, "类别12"] and [x.p for x in r] == [False, False, None, True] and [x.z for x in r] == [False, False, True, False]
+    k = spark.createDataFrame([("a10b",), ("a9b",), ("a009c",)], "n string").orderBy(names.natural_key(F.col("n"))).collect()
+    assert [x.n for x in k] == ["a9b", "a009c", "a10b"]
+    assert names.parse_ratio("8:1:1", ("train", "val", "test")) == {"train": 0.8, "val": 0.1, "test": 0.1}
+    with pytest.raises(ValueError):
+        names.parse_ratio("1:2", ("train", "val", "test"))
+
+
 def test_nearest_rank_and_geometry(spark):
     d = spark.createDataFrame([([0, 10, 20, 30],)], "v array<int>")
     assert d.select(stats.nearest_rank(F.col("v"), 0.5)).first()[0] == 20
@@ -100,6 +159,8 @@ def test_streams(spark, tmp_path):
     series.scan_new(*args)
     spark.createDataFrame([("a", 2, 2.0), ("b", 1, 5.0)], schema).write.mode("append").parquet(src)
     series.scan_new(*args)
+    spark.createDataFrame([("c", None, 1.0)], schema).write.mode("append").parquet(src)
+    series.scan_new(*args[:-1], F.col("t") < 0)  # null: not known to be bad
     out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == 4 and spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    assert out.count() == 5 and spark.read.parquet(str(tmp_path / "bad")).count() == 1
     assert {(r.k, r.t, r.v) for r in series.last_write_wins(out, ["k"], "t", "v").collect()} == {("a", 3, 3.0), ("b", 1, 5.0)}

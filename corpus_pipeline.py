@@ -19,6 +19,8 @@ from marlstone.llm.common import stable, table
 SURE = 0.5
 #: Documents that one task of the last stage holds at a time: executors still hold what the stages before left on their heaps.
 CHUNK_ROWS = 750
+#: Most keys of dropped rows (id, flag, 32-byte digest: about 100 bytes each) that are broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def _own(docs: DataFrame, name: str) -> str:
@@ -39,7 +41,9 @@ def _without(docs: DataFrame, sha: Column, told: DataFrame) -> DataFrame:
     keys = [_own(docs, f"row_{k}") for k in ("id", "none", "sha")]
     named = docs.withColumns(dict(zip(keys, _keys(F.col("doc_id"), sha))))
     told = told.withColumnsRenamed(dict(zip(("id", "none", "sha"), keys)))
-    kept = named.join(told.select(keys), keys, "left_anti")
+    # below a bound the rows that go are sent to every executor and texts stay; above it both sides are dealt by key
+    gone = told.select(keys)
+    kept = named.join(F.broadcast(gone) if told.count() <= BROADCAST_ROWS else gone, keys, "left_anti")
     repeated = told.where("kept").select(keys)
     if not repeated.isEmpty():
         kept = kept.unionByName(named.join(repeated, keys, "left_semi").dropDuplicates(keys))
@@ -71,7 +75,6 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     parts = stable(parts.select(id_.alias("id"), none.alias("none"), sha.alias("sha"), "root"))
     order = F.struct("none", "id", "sha")
     first = stable(parts.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
-    # a table, so that its size is known when the join is planned: Spark broadcasts it below its threshold, else both sides move
     told = parts.join(first, "root").select("id", "none", "sha", (order == F.col("first")).alias("kept")).groupBy("id", "none", "sha").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("c"))
     return _without(docs, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), stable(told.where("not kept or c > 1")))
 

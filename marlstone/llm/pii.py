@@ -409,4 +409,5 @@ def find(text: Column) -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", find(F.col("text")).alias("p"))
     count = lambda k: F.size(F.filter(F.split("p.base", ","), lambda s: s.startswith(f"{k}:"))).cast("long").alias(f"n_{k}")
-    return d.select("doc_id", *[count(k) for k in KINDS], F.sha2("p.base", 256).alias("base_sha256"), F.col("p.spans").alias("spans"))
+    total = F.size(F.filter(F.split("p.spans", ","), lambda s: s != "")).cast("long").alias("n_spans")  # base and added
+    return d.select("doc_id", *[count(k) for k in KINDS], F.sha2("p.base", 256).alias("base_sha256"), F.col("p.spans").alias("spans"), total)

@@ -91,3 +91,26 @@ def parse_ratio(text: str, names: tuple[str, ...]) -> dict[str, float]:
     if len(values) != len(names) or min(values) < 0 or sum(values) <= 0:
         raise ValueError(f"not a ratio of {len(names)} parts: {text!r}")
     return {n: v / sum(values) for n, v in zip(names, values)}
+
+
+def model_short(model: Column) -> Column:
+    """The last part of a model's name up to its first hyphen."""
+    return F.get(F.split(F.element_at(F.split(model, "/"), -1), "-"), F.lit(0))
+
+
+#: Folder names that only state a task.
+TASK_FOLDERS = ("dataset", "data", "dataset_det", "dataset_cls", "dataset_seg", "data_det", "data_cls", "data_seg")
+
+
+def dataset_short(path: Column) -> Column:
+    """The nearest folder above a file, below any "datasets" and the root, that says more than a task, without its suffix."""
+    folders = F.reverse(F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - 1))
+    stop = F.array_min(F.transform(F.filter(F.transform(folders, lambda f, i: F.struct(i.alias("i"), F.lower(f).isin("", "datasets").alias("end"))), lambda s: s["end"]), lambda s: s["i"]))
+    near = F.slice(folders, F.lit(1), F.coalesce(stop, F.size(folders)))
+    told = F.transform(F.filter(near, lambda f: ~F.lower(f).isin(*TASK_FOLDERS)), lambda f: F.regexp_replace(f, "(?i)(_dataset|_data|_det|_cls|_seg)$", ""))
+    return F.coalesce(F.get(F.filter(told, lambda f: f != ""), F.lit(0)), F.lit("dataset"))
+
+
+def filled(name: Column, class_id: Column) -> Column:
+    """A class name, or class_<id> where there is none."""
+    return F.coalesce(name, F.concat(F.lit("class_"), class_id.cast("string")))

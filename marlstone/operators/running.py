@@ -33,3 +33,18 @@ def envelope(ranked: DataFrame, group: list[str], value: Column) -> DataFrame:
 def ratio(a: Column, b: Column) -> Column:
     """a / b, and 0 where b is not positive."""
     return F.when(b > 0, a / F.when(b > 0, b)).otherwise(F.lit(0.0))
+
+
+def ordered_ranks(df: DataFrame, group: list[str], key: str, ties: list[str], out: str, bands: int = 1024) -> DataFrame:
+    """Adds `out`: the rank from 0 by a numeric key within the group, and total: the group's rows.
+
+    The group's keys are cut into equal ranges; ranges are counted, their offsets are sums over at most `bands` rows a group, and only
+    rows of one range are sorted together. Ranges are even when keys are spread, as ids are. Keys must not be null.
+    """
+    ends = df.groupBy(*group).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    d = df.join(ends, group).withColumn("_band", F.floor((F.col(key) - F.col("_lo")) * bands / (F.col("_hi") - F.col("_lo") + 1)))
+    counts = d.groupBy(*group, "_band").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group)
+    offs = counts.select(*group, "_band", F.coalesce(F.sum("_n").over(w.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_k0"), F.sum("_n").over(w).alias("total"))
+    own = Window.partitionBy(*group, "_band").orderBy(key, *ties)
+    return d.join(offs, [*group, "_band"]).withColumn(out, F.col("_k0") + F.row_number().over(own) - 1).drop("_band", "_k0", "_lo", "_hi")

@@ -61,7 +61,7 @@ def is_convex(points: Column) -> Column:
 def canonical(points: Column) -> Column:
     """The least of all rotations of the points and of their reversal: equal for equal outlines."""
     turn = lambda p: F.transform(p, lambda _, i: F.concat(F.slice(p, i + 1, F.size(p)), F.slice(p, F.lit(1), i)))
-    return F.array_min(F.concat(turn(points), turn(F.reverse(points))))
+    return _let(points, lambda p: F.array_min(F.concat(turn(p), _let(F.reverse(p), turn))))
 
 
 def _crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
